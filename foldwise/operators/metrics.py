@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from foldwise.functions.numeric import ratio, ratio_or_zero
 from foldwise.operators.ordered import (
-    CHUNK, CHUNK_ROWS, chunk_carry, chunk_count, with_chunks,
+    CHUNK, CHUNK_ROWS, chunk_carry, with_chunks,
 )
 from foldwise.session import materialise
 
@@ -100,35 +100,42 @@ def regression_report(
     )
 
 
-def roc_auc(
+def score_points(
     df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
     weight: str | None = None, rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Exact ROC AUC per group, ties counted half; NULL without both classes.
+    """``(by..., score, pos, neg, lower)``: rows per distinct score and negatives below it.
 
-    Rows collapse to distinct scores, which are cut in score chunks: each chunk needs only
-    the number of negatives in the chunks below it.
+    Rows collapse to distinct scores, combined map-side and written once. The scores are cut
+    in chunks, and a chunk needs only the number of negatives in the chunks below it.
     """
     by = list(by)
     w, y = _weight(weight), F.col(label)
     points = df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(*by, score).agg(
-        F.sum(F.when(y == 1, w).otherwise(0)).alias("_pos"),
-        F.sum(F.when(y == 1, 0).otherwise(w)).alias("_neg"),
+        F.sum(F.when(y == 1, w).otherwise(0)).alias("pos"),
+        F.sum(F.when(y == 1, 0).otherwise(w)).alias("neg"),
     )
-    points = with_chunks(points, score, rows)
-    if chunk_count(points) > 1:
-        points = materialise(points)
-    points = chunk_carry(points, by, {"_sum": F.sum("_neg")}, {"_below": ("_sum", F.sum)})
+    points = with_chunks(materialise(points), score, rows)
+    points = chunk_carry(points, by, {"_sum": F.sum("neg")}, {"_below": ("_sum", F.sum)})
     inside = (
         Window.partitionBy(*by, CHUNK).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     )
-    lower = F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("_neg").over(inside), F.lit(0))
-    area = F.col("_pos") * (F.col("_lower") + F.col("_neg") / 2.0)
-    return points.withColumn("_lower", lower).groupBy(*by).agg(
-        F.try_divide(
-            F.sum(area), F.sum("_pos").cast("double") * F.sum("_neg").cast("double")
-        ).alias("roc_auc")
-    )
+    lower = F.coalesce(F.col("_below"), F.lit(0)) + F.coalesce(F.sum("neg").over(inside), F.lit(0))
+    return points.select(*by, score, "pos", "neg", lower.alias("lower"))
+
+
+def _auc() -> Column:
+    area = F.col("pos") * (F.col("lower") + F.col("neg") / 2.0)
+    return F.try_divide(F.sum(area), F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+
+
+def roc_auc(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
+    weight: str | None = None, rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Exact ROC AUC per group, ties counted half; NULL without both classes."""
+    points = score_points(df, by, label, score, weight, rows)
+    return points.groupBy(*by).agg(_auc().alias("roc_auc"))
 
 
 def roc_auc_one_vs_rest(
@@ -147,34 +154,22 @@ def roc_auc_one_vs_rest(
     return per_class.groupBy(*by).agg(F.avg("roc_auc").alias("roc_auc"))
 
 
-def log_loss(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
-    weight: str | None = None,
-) -> DataFrame:
-    p = F.least(F.greatest(F.col(score), F.lit(CLIP)), F.lit(1 - CLIP))
-    cost = -F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))
-    w = _weight(weight)
-    return df.groupBy(*by).agg(F.try_divide(F.sum(cost * w), F.sum(w).cast("double")).alias("log_loss"))
-
-
 def binary_scores(
     df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
     weight: str | None = None, threshold: float = 0.5, rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Every binary scorer side by side: higher is better for each."""
-    by = list(by)
-    marked = df.withColumn("_pred", (F.col(score) >= threshold).cast("int"))
-    report = binary_report(binary_counts(marked, by, label, "_pred", weight))
-    out = report.select(*by, "accuracy", "f1")
-    auc = roc_auc(df, by, label, score, weight, rows)
-    loss = log_loss(df, by, label, score, weight).select(
-        *by, (-F.col("log_loss")).alias("neg_log_loss")
+    """Every binary scorer from the distinct scores: higher is better for each."""
+    points = score_points(df, by, label, score, weight, rows)
+    hit = F.col(score) >= threshold
+    pos, neg = F.col("pos"), F.col("neg")
+    p = F.least(F.greatest(F.col(score), F.lit(CLIP)), F.lit(1 - CLIP))
+    tp, claimed = F.sum(F.when(hit, pos).otherwise(0)), F.sum(F.when(hit, pos + neg).otherwise(0))
+    n, real = F.sum(pos + neg), F.sum(pos)
+    return points.groupBy(*by).agg(
+        ratio(F.sum(F.when(hit, pos).otherwise(neg)), n).alias("accuracy"),
+        ratio_or_zero(2 * tp, claimed + real).alias("f1"), _auc().alias("roc_auc"),
+        ratio(F.sum(pos * F.log(p) + neg * F.log(1 - p)), n).alias("neg_log_loss"),
     )
-    if not by:
-        one = F.lit(1).alias("_one")
-        frames = [f.select(one, "*") for f in (out, auc, loss)]
-        return frames[0].join(frames[1], "_one").join(frames[2], "_one").drop("_one")
-    return out.join(auc, by).join(loss, by)
 
 
 BINARY_SCORERS = ("accuracy", "f1", "roc_auc", "neg_log_loss")

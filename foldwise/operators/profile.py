@@ -167,6 +167,7 @@ def _number(c: Column, places: int = 4) -> Column:
 
 
 def _section(df: DataFrame, section: str, item, value) -> DataFrame:
+    item, value = item.cast("string"), value.cast("string")
     return df.select(F.lit(section).alias("section"), item.alias("item"), value.alias("value"))
 
 

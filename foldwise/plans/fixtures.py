@@ -77,7 +77,6 @@ def scored_counts(spark: SparkSession, sf: str) -> DataFrame:
         folds.fold_of(F.col("key"), FOLDS).alias("fold"),
         F.col("l_linestatus").alias("status"), F.month("l_shipdate").cast("string").alias("month"),
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_returnflag") == "R").alias("s"))
-    cells = materialise(cells)
     models = F.array(*[
         F.struct(F.lit(m).alias("model"), F.col(c).alias("cat"))
         for m, c in (("line_status", "status"), ("ship_month", "month"))
@@ -86,7 +85,7 @@ def scored_counts(spark: SparkSession, sf: str) -> DataFrame:
         cells.select(F.explode(models).alias("x"), "fold", "n", "s").select("x.*", "fold", "n", "s")
         .groupBy("model", "cat", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     )
-    scored = encode.encoding_by_fold(counts, ["model"], "cat", "fold", name="score")
+    scored = materialise(encode.encoding_by_fold(counts, ["model"], "cat", "fold", name="score"))
     labels = F.array(
         F.struct(F.lit(1).alias("label"), F.col("s").alias("n")),
         F.struct(F.lit(0).alias("label"), (F.col("n") - F.col("s")).alias("n")),

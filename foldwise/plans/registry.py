@@ -1,8 +1,8 @@
 """All registered queries."""
 
-from foldwise.plans import leaderboard
+from foldwise.plans import formatting, leaderboard, preparing, profiling, runlogs, texts
 
-MODULES = (leaderboard,)
+MODULES = (leaderboard, profiling, preparing, formatting, runlogs, texts)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
