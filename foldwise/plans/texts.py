@@ -54,15 +54,13 @@ SELECT page_id, {_slug_sql('name')} AS dataset,
   CASE form WHEN 0 THEN host WHEN 1 THEN host || '.csv' WHEN 3 THEN host END AS after_data FROM n"""
 
 # --- replies --------------------------------------------------------------------------
-FENCED = F.concat(
-    F.lit("Plan:\n"), F.col("text"), F.lit("\n```python\n  x = "), F.col("conv_id").cast("string"),
-    F.lit("\n\n```\nThen.\n```python\ny = 2\n```\n"),
-)
-
-
 def replies(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations whose even turns hold two fenced code blocks."""
-    body = F.when(F.pmod("turn", F.lit(2)) == 0, FENCED).otherwise(F.col("text"))
+    fenced = F.concat(
+        F.lit("Plan:\n"), F.col("text"), F.lit("\n```python\n  x = "),
+        F.col("conv_id").cast("string"), F.lit("\n\n```\nThen.\n```python\ny = 2\n```\n"),
+    )
+    body = F.when(F.pmod("turn", F.lit(2)) == 0, fenced).otherwise(F.col("text"))
     return table(spark, sf, "conversations").select("conv_id", "turn", body.alias("reply"))
 
 
