@@ -2,11 +2,312 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+
+from pyspark import InheritableThread, StorageLevel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.operators import encode, folds, metrics, schema
+from foldwise.operators.preprocess import CategoryImputer, NumericPreparer, date_parts
+from foldwise.operators.registry import FEATURES, LABEL, PREDICTION, RAW, candidate
+
+KEY, FOLD, SCORE, PROBABILITIES = "key", "fold", "score", "probabilities"
+INNER_SEED = 4242
+
+
+@dataclass
+class Prepared:
+    """A keyed frame with label and folds, and how its columns are to be prepared."""
+
+    frame: DataFrame
+    target: str
+    task: str
+    numeric: list[str]
+    one_hot: list[str]
+    by_target: list[str]
+    classes: list = field(default_factory=list)
+    folds: int = 5
+
+    def persist(self) -> Prepared:
+        self.frame = self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def unpersist(self) -> None:
+        self.frame.unpersist()
+
+
+def as_features(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
+    """Booleans to 0/1 and times to their parts; columns without a role are dropped."""
+    roles = schema.infer_roles(df, exclude)
+    new = {c: F.col(c).cast("int") for c in roles.boolean}
+    for c in roles.temporal:
+        new |= date_parts(c)
+    return schema.normalise_nan(df.withColumns(new) if new else df).drop(
+        *roles.temporal, *roles.other
+    )
+
+
+def prepare(
+    df: DataFrame, target: str, key: Column, task: str | None = None, k: int = 5,
+    drop: Sequence[str] = (), one_hot_limit: int = encode.ONE_HOT_LIMIT, stratified: bool = True,
+    cleaned: bool = True,
+) -> Prepared:
+    """Keyed, labelled and folded frame. The key is no feature; the target is encoded once."""
+    df = schema.drop_null_target(df, target).withColumn(KEY, key)
+    features = [c for c in df.columns if c not in (target, KEY, *drop)]
+    df = df.select(KEY, target, *features)
+    if cleaned:
+        names = schema.clean_names(features)
+        df = df.toDF(KEY, target, *names)
+        features = names
+    task = task or schema.infer_task(df, target)
+    df = as_features(df, [KEY, target])
+    classes: list = []
+    if task == "classification":
+        classes = [r[0] for r in df.select(target).distinct().orderBy(target).take(1001)]
+        df = encode.encode_label(df, target, LABEL).drop(target)
+    else:
+        df = df.withColumn(LABEL, F.col(target).cast("double")).drop(target)
+    if task == "classification" and stratified:
+        df = folds.stratified_kfold(df, LABEL, F.col(KEY), k)
+    else:
+        df = folds.kfold(df, F.col(KEY), k)
+    roles = schema.infer_roles(df, [KEY, LABEL, FOLD])
+    routes = encode.route_by_cardinality(df, roles.categorical, one_hot_limit)
+    return Prepared(
+        df, target, task, roles.numeric,
+        [c for c in roles.categorical if routes[c] == "one_hot"],
+        [c for c in roles.categorical if routes[c] == "target"], classes, k,
+    )
+
+
+def preparation(p: Prepared, impute: str = "median", scale: str | None = "standard") -> list:
+    """Stages from raw columns to the feature vector; an unseen category is all zeros."""
+    numeric = [*p.numeric, *[f"{c}_target" for c in p.by_target]]
+    index, hot = [f"{c}_index" for c in p.one_hot], [f"{c}_hot" for c in p.one_hot]
+    stages: list = [NumericPreparer(numeric, impute, scale)]
+    if p.one_hot:
+        stages += [
+            CategoryImputer(p.one_hot),
+            StringIndexer(inputCols=p.one_hot, outputCols=index, handleInvalid="keep",
+                          stringOrderType="alphabetAsc"),
+            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="error"),
+        ]
+    return [*stages, VectorAssembler(inputCols=[*numeric, *hot], outputCol=FEATURES)]
+
+
+def encode_by_target(p: Prepared, train: DataFrame, others: Sequence[DataFrame]):
+    """Target-encode the wide categories: training rows out of fold, other rows by all of train."""
+    if not p.by_target:
+        return train, list(others)
+    model = encode.TargetEncoder(p.by_target, LABEL).fit(train)
+    others = [model.transform(o) for o in others]
+    train = folds.kfold(train, F.col(KEY), 5, INNER_SEED, "_inner")
+    for c in p.by_target:
+        train = encode.target_encode_oof(train, c, LABEL, "_inner", name=f"{c}_target")
+    return train.drop("_inner"), others
+
+
+def with_score(scored: DataFrame, classes: int = 2) -> DataFrame:
+    """Score of the positive class (probability, raw score or prediction) and class scores."""
+    have = set(scored.columns)
+    if "probability" in have:
+        values, calibrated = vector_to_array("probability"), True
+    elif RAW in have:
+        values, calibrated = F.col(RAW), False
+    elif "rawPrediction" in have:
+        values, calibrated = vector_to_array("rawPrediction"), False
+    else:
+        return scored.withColumn(SCORE, F.col(PREDICTION))
+    out = scored.withColumn(SCORE, F.get(values, F.lit(1)))
+    return out.withColumn(PROBABILITIES, values) if calibrated or classes > 2 else out
+
+
+def output_columns(p: Prepared, scored: DataFrame, *keep: str) -> DataFrame:
+    if p.task == "classification":
+        scored = with_score(scored, len(p.classes))
+    else:
+        scored = scored.withColumn(SCORE, F.col(PREDICTION))
+    if PROBABILITIES not in scored.columns:
+        scored = scored.withColumn(PROBABILITIES, F.lit(None).cast("array<double>"))
+    return scored.select(KEY, *keep, PREDICTION, SCORE, PROBABILITIES)
+
+
+def fit_fold(p: Prepared, estimator: Estimator, i: int, stages=None) -> tuple[PipelineModel, DataFrame]:
+    """Everything fitted on the other folds, and the rows of fold ``i`` scored."""
+    train, valid = folds.split_fold(p.frame, i)
+    train, (valid,) = encode_by_target(p, train, [valid])
+    model = Pipeline(stages=[*(stages or preparation(p)), estimator]).fit(train)
+    return model, model.transform(valid)
+
+
+def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
+    """Run driver-side fits side by side; a few threads submit jobs, executors do the work."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda t: _inherited(t), tasks))
+
+
+def _inherited(task: Callable):
+    box: list = []
+
+    def run():
+        try:
+            box.append((True, task()))
+        except Exception as e:
+            box.append((False, e))
+
+    thread = InheritableThread(target=run)
+    thread.start()
+    thread.join()
+    done, value = box[0]
+    if not done:
+        raise value
+    return value
+
+
+def out_of_fold(
+    p: Prepared, build: Callable[[], Estimator], parallelism: int = 1, stages=None
+) -> tuple[DataFrame, PipelineModel]:
+    """Predictions of every row by a model that never saw it, and the last fold's model."""
+    fitted = in_parallel(
+        [lambda i=i: fit_fold(p, build(), i, stages() if stages else None) for i in range(p.folds)],
+        parallelism,
+    )
+    parts = [output_columns(p, scored, FOLD, LABEL) for _, scored in fitted]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out, fitted[-1][0]
+
+
+def scores_of(p: Prepared, oof: DataFrame, by: Sequence[str] = (FOLD,)) -> DataFrame:
+    """Metrics per fold in long form ``(fold, metric, value)``; higher is better for each."""
+    by = list(by)
+    if p.task == "regression":
+        report = metrics.regression_report(oof, by, LABEL, PREDICTION)
+        return metrics.to_leaderboard(report, metrics.REGRESSION_SCORERS, by)
+    if len(p.classes) <= 2:
+        report = metrics.binary_report(metrics.binary_counts(oof, by, LABEL, PREDICTION))
+        auc = metrics.roc_auc(oof, by, LABEL, SCORE)
+        return metrics.to_leaderboard(
+            report.select(*by, "accuracy", "f1").join(auc, by), ("accuracy", "f1", "roc_auc"), by
+        )
+    report = metrics.multiclass_report(metrics.confusion(oof, by, LABEL, PREDICTION), by)
+    out = metrics.to_leaderboard(report, ("accuracy", "f1_macro", "f1_micro"), by)
+    codes = [float(i) for i in range(len(p.classes))]
+    scored = oof.where(F.col(PROBABILITIES).isNotNull())
+    auc = metrics.roc_auc_one_vs_rest(scored, codes, by, LABEL, PROBABILITIES)
+    return out.unionByName(metrics.to_leaderboard(auc, ("roc_auc",), by))
+
+
+BOARD_SCHEMA = "model string, fold int, metric string, value double, error string"
+
+
+def leaderboard(
+    p: Prepared, names: Sequence[str], params: Mapping[str, Mapping] | None = None,
+    parallelism: int = 1,
+) -> DataFrame:
+    """``(model, fold, metric, value, error)``; a model that fails is reported, not dropped."""
+    spark = p.frame.sparkSession
+    rows = []
+    for name in names:
+        try:
+            chosen = candidate(name)
+            extra = dict((params or {}).get(name, {}))
+            oof, _ = out_of_fold(
+                p, lambda c=chosen, e=extra: c.build(p.task, len(p.classes), **e), parallelism
+            )
+            # One row per fold and metric.
+            found = scores_of(p, oof).collect()
+            rows += [(name, r[FOLD], r["metric"], r["value"], None) for r in found]
+        except Exception as e:
+            rows.append((name, None, None, None, str(e).splitlines()[0][:500]))
+    if all(r[4] for r in rows):
+        raise ValueError("all models failed: " + "; ".join(r[4] for r in rows))
+    return spark.createDataFrame(rows, BOARD_SCHEMA)
+
+
+def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
+    """Names of the assembled features, from the vector's metadata."""
+    attrs = df.schema[FEATURES].metadata.get("ml_attr", {}).get("attrs", {})
+    flat = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
+    return [name for _, name in flat]
+
+
+def importances(model: PipelineModel, transformed: DataFrame) -> DataFrame:
+    """``(feature, importance)`` of the last stage: importances, or absolute weights."""
+    last = model.stages[-1]
+    names = feature_names(model, transformed)
+    if hasattr(last, "featureImportances"):
+        values = last.featureImportances.toArray().tolist()
+    elif hasattr(last, "coefficients"):
+        values = [abs(v) for v in last.coefficients.toArray().tolist()]
+    else:
+        raise TypeError(f"{type(last).__name__} has no importances")
+    names = names if len(names) == len(values) else [f"f{i}" for i in range(len(values))]
+    return transformed.sparkSession.createDataFrame(
+        list(zip(names, map(float, values), strict=True)), "feature string, importance double"
+    )
+
+
+def slicer_by_importance(model: PipelineModel, output: str = "selected") -> VectorSlicer:
+    """Keep features whose importance reaches the mean."""
+    values = model.stages[-1].featureImportances.toArray()
+    keep = [i for i, v in enumerate(values) if v >= values.mean()]
+    return VectorSlicer(inputCol=FEATURES, outputCol=output, indices=keep)
+
+
+def refit(p: Prepared, estimator: Estimator) -> Callable[[DataFrame], DataFrame]:
+    """Fit on all rows; returns a scorer of tables that carry ``key`` and the features."""
+    train, _ = encode_by_target(p, p.frame, [])
+    model = Pipeline(stages=[*preparation(p), estimator]).fit(train)
+
+    def score(test: DataFrame) -> DataFrame:
+        _, (ready,) = encode_by_target(p, p.frame, [test])
+        return output_columns(p, model.transform(ready))
+
+    return score
+
+
+def align_test(p: Prepared, test: DataFrame, key: Column) -> DataFrame:
+    """A new table with its names cleaned and its columns shaped like the training features."""
+    keyed = test.withColumn("_row_key", key)
+    names = schema.clean_names(test.columns)
+    keyed = keyed.toDF(*names, KEY)
+    features = [*p.numeric, *p.one_hot, *p.by_target]
+    return schema.align_to_train(as_features(keyed, [KEY]), features, [KEY])
+
+
+class LogTarget(Estimator):
+    """Fit a regressor on ``log1p`` of the label and predict on the original scale."""
+
+    def __init__(self, estimator: Estimator):
+        super().__init__()
+        self.estimator = estimator
+
+    def _fit(self, df: DataFrame):
+        inner = self.estimator.fit(df.withColumn(LABEL, F.log1p(LABEL)))
+        return LogTargetModel(inner)
+
+
+class LogTargetModel(PipelineModel):
+    def __init__(self, inner):
+        super().__init__([inner])
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = super()._transform(df)
+        return out.withColumn(PREDICTION, F.expm1(PREDICTION))
+
 
-def ridge_closed_form(df: DataFrame, x: str, y: str, alpha: float, fold: str = "fold") -> DataFrame:
+def ridge_closed_form(df: DataFrame, x: str, y: str, alpha: float, fold: str = FOLD) -> DataFrame:
     """One-feature ridge for every fold from one aggregate of per-fold moments.
 
     Centred sums of the training folds merge from those of each fold, and the held-out error

@@ -29,9 +29,9 @@ ORACLE["slugify"] = f"""SELECT page_id, {_slug_sql('url')} AS slug, 'default' AS
 
 
 def paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Dataset paths made of host and last segment of each page address."""
+    """Dataset paths of several shapes made of the host of each page address."""
     rest = F.regexp_replace("url", "^[a-z]+://", "")
-    host, leaf = F.regexp_extract(rest, "^([^/?#]*)", 1), F.regexp_extract(rest, "([^/?#]*)[?#]*[^/]*$", 1)
+    host, leaf = F.regexp_extract(rest, "^([^/?#]*)", 1), F.col("page_id").cast("string")
     form = F.pmod("page_id", F.lit(5))
     path = (
         F.when(form == 0, F.concat(F.lit("data/"), host, F.lit("/train.csv")))
