@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import InheritableThread, StorageLevel
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import encode, folds, metrics, schema
 from foldwise.operators.preprocess import CategoryImputer, NumericPreparer, date_parts
-from foldwise.operators.registry import FEATURES, LABEL, PREDICTION, RAW, candidate
+from foldwise.operators.registry import FEATURES, LABEL, PREDICTION, RAW, candidate, in_parallel
+from foldwise.session import materialise
 
 KEY, FOLD, SCORE, PROBABILITIES = "key", "fold", "score", "probabilities"
 INNER_SEED = 4242
@@ -147,45 +148,72 @@ def fit_fold(p: Prepared, estimator: Estimator, i: int, stages=None) -> tuple[Pi
     return model, model.transform(valid)
 
 
-def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
-    """Run driver-side fits side by side; a few threads submit jobs, executors do the work."""
-    if parallelism <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(lambda t: _inherited(t), tasks))
+@contextmanager
+def fold_vectors(p: Prepared, i: int):
+    """Preparation fitted on the other folds, with training and held-out vectors kept for all models."""
+    train, valid = folds.split_fold(p.frame, i)
+    train, (valid,) = encode_by_target(p, train, [valid])
+    prep = Pipeline(stages=preparation(p)).fit(train)
+    train = prep.transform(train).select(KEY, LABEL, FEATURES)
+    valid = prep.transform(valid).select(KEY, FOLD, LABEL, FEATURES)
+    kept = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in (train, valid)]
+    try:
+        yield prep, *kept
+    finally:
+        for f in kept:
+            f.unpersist()
+
 
+Builders = Mapping[str, Callable[[], Estimator]]
 
-def _inherited(task: Callable):
-    box: list = []
 
-    def run():
-        try:
-            box.append((True, task()))
-        except Exception as e:
-            box.append((False, e))
+def predict_folds(
+    p: Prepared, builders: Builders, parallelism: int = 1
+) -> tuple[DataFrame | None, dict[str, str], dict[str, PipelineModel]]:
+    """Out-of-fold predictions of several models, each row by models that never saw it.
 
-    thread = InheritableThread(target=run)
-    thread.start()
-    thread.join()
-    done, value = box[0]
-    if not done:
-        raise value
-    return value
+    The preparation is fitted once per fold for all models, and the predictions are written
+    once, so metrics read them and not the models again. A model that fails in any fold is
+    left out and reported. Returns the long table ``(model, key, fold, label, prediction,
+    score, probabilities)``, the errors, and the last fold's fitted pipelines.
+    """
+    errors: dict[str, str] = {}
+    parts: dict[str, list[DataFrame]] = {name: [] for name in builders}
+    last: dict[str, PipelineModel] = {}
+    for i in range(p.folds):
+        with fold_vectors(p, i) as (prep, train, valid):
+
+            def run(name, prep=prep, train=train, valid=valid):
+                try:
+                    model = builders[name]().fit(train)
+                    scored = output_columns(p, model.transform(valid), FOLD, LABEL)
+                    scored = scored.select(F.lit(name).alias("model"), "*")
+                    return name, materialise(scored), PipelineModel([*prep.stages, model])
+                except Exception as e:
+                    return name, None, str(e).splitlines()[0][:500]
+
+            live = [n for n in builders if n not in errors]
+            for name, scored, model in in_parallel([lambda n=n: run(n) for n in live], parallelism):
+                if scored is None:
+                    errors[name] = model
+                else:
+                    parts[name].append(scored)
+                    last[name] = model
+    whole = [part for name, found in parts.items() if name not in errors for part in found]
+    out = None
+    for part in whole:
+        out = part if out is None else out.unionByName(part)
+    return out, errors, {n: m for n, m in last.items() if n not in errors}
 
 
 def out_of_fold(
-    p: Prepared, build: Callable[[], Estimator], parallelism: int = 1, stages=None
+    p: Prepared, build: Callable[[], Estimator], parallelism: int = 1
 ) -> tuple[DataFrame, PipelineModel]:
-    """Predictions of every row by a model that never saw it, and the last fold's model."""
-    fitted = in_parallel(
-        [lambda i=i: fit_fold(p, build(), i, stages() if stages else None) for i in range(p.folds)],
-        parallelism,
-    )
-    parts = [output_columns(p, scored, FOLD, LABEL) for _, scored in fitted]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out, fitted[-1][0]
+    """Out-of-fold predictions of one model and its last fold's pipeline."""
+    oof, errors, models = predict_folds(p, {"model": build}, parallelism)
+    if errors:
+        raise ValueError(errors["model"])
+    return oof.drop("model"), models["model"]
 
 
 def scores_of(p: Prepared, oof: DataFrame, by: Sequence[str] = (FOLD,)) -> DataFrame:
@@ -216,23 +244,18 @@ def leaderboard(
     parallelism: int = 1,
 ) -> DataFrame:
     """``(model, fold, metric, value, error)``; a model that fails is reported, not dropped."""
-    spark = p.frame.sparkSession
-    rows = []
-    for name in names:
-        try:
-            chosen = candidate(name)
-            extra = dict((params or {}).get(name, {}))
-            oof, _ = out_of_fold(
-                p, lambda c=chosen, e=extra: c.build(p.task, len(p.classes), **e), parallelism
-            )
-            # One row per fold and metric.
-            found = scores_of(p, oof).collect()
-            rows += [(name, r[FOLD], r["metric"], r["value"], None) for r in found]
-        except Exception as e:
-            rows.append((name, None, None, None, str(e).splitlines()[0][:500]))
-    if all(r[4] for r in rows):
-        raise ValueError("all models failed: " + "; ".join(r[4] for r in rows))
-    return spark.createDataFrame(rows, BOARD_SCHEMA)
+    builders = {
+        n: lambda n=n: candidate(n).build(p.task, len(p.classes), **dict((params or {}).get(n, {})))
+        for n in names
+    }
+    oof, errors, _ = predict_folds(p, builders, parallelism)
+    if oof is None:
+        raise ValueError(f"all models failed: {errors}")
+    board = scores_of(p, oof, ("model", FOLD)).select(
+        "model", FOLD, "metric", "value", F.lit(None).cast("string").alias("error")
+    )
+    failed = [(n, None, None, None, e) for n, e in errors.items()]
+    return board.unionByName(p.frame.sparkSession.createDataFrame(failed, BOARD_SCHEMA))
 
 
 def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:

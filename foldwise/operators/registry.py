@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import InheritableThread
 from pyspark.ml import Estimator, Model
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
@@ -17,6 +19,32 @@ SEED = 42
 RAW = "ridge_scores"
 
 
+def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
+    """Run driver-side fits side by side; a few threads submit jobs, executors do the work."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(lambda t: _inherited(t), tasks))
+
+
+def _inherited(task: Callable):
+    box: list = []
+
+    def run():
+        try:
+            box.append((True, task()))
+        except Exception as e:
+            box.append((False, e))
+
+    thread = InheritableThread(target=run)
+    thread.start()
+    thread.join()
+    done, value = box[0]
+    if not done:
+        raise value
+    return value
+
+
 class Ridge(Estimator):
     """Least squares with penalty ``alpha * |w|^2`` on unscaled features.
 
@@ -45,10 +73,12 @@ class RidgeClassifier(Estimator):
         self.alpha, self.classes = alpha, classes
 
     def _fit(self, df: DataFrame) -> RidgeClassifierModel:
-        models = []
-        for i in range(1, 2) if self.classes <= 2 else range(self.classes):
+        def fit(i: int):
             signed = df.withColumn("_sign", F.when(F.col(LABEL) == i, 1.0).otherwise(-1.0))
-            models.append(Ridge(self.alpha, "_sign", f"_score_{i}").fit(signed))
+            return Ridge(self.alpha, "_sign", f"_score_{i}").fit(signed)
+
+        classes = [1] if self.classes <= 2 else range(self.classes)
+        models = in_parallel([lambda i=i: fit(i) for i in classes], len(classes))
         return RidgeClassifierModel(models, self.classes)
 
 
@@ -91,6 +121,13 @@ def _cols(**params):
     return {"featuresCol": FEATURES, "labelCol": LABEL, "predictionCol": PREDICTION, **params}
 
 
+def _one_vs_rest(base, classes: int):
+    return C.OneVsRest(
+        classifier=base, featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
+        parallelism=min(classes, 8),
+    )
+
+
 def _boosted(**defaults) -> Candidate:
     """Gradient-boosted trees; several classes become one model per class."""
 
@@ -98,9 +135,7 @@ def _boosted(**defaults) -> Candidate:
         base = C.GBTClassifier(**_cols(seed=SEED, **(defaults | params)))
         if classes <= 2:
             return base
-        return C.OneVsRest(
-            classifier=base, featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION
-        )
+        return _one_vs_rest(base, classes)
 
     return Candidate(
         classifier, lambda **params: R.GBTRegressor(**_cols(seed=SEED, **(defaults | params)))
@@ -119,9 +154,7 @@ def _svm(classes: int, **params):
     base = C.LinearSVC(**_cols(**({"regParam": 0.01} | params)))
     if classes <= 2:
         return base
-    return C.OneVsRest(
-        classifier=base, featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION
-    )
+    return _one_vs_rest(base, classes)
 
 
 class Perceptron(Estimator):

@@ -16,7 +16,7 @@ from foldwise.plans.fixtures import LINE_KEY, line_key, lineitem, sql_fold
 from foldwise.plans.preparing import ALPHA, ORACLE as PREPARING
 from foldwise.sources import sinks
 from foldwise.sources.tables import table
-from foldwise.session import materialise, scratch_path
+from foldwise.session import scratch_path
 
 QUERIES, ORACLE = {}, {}
 
@@ -26,6 +26,7 @@ SMALL = {
     "cat": {"maxIter": 5, "maxDepth": 3, "stepSize": 0.1},
     "random_forest": {"numTrees": 10, "maxDepth": 5},
 }
+THREADS = 4
 LINE_COLUMNS = (
     "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate",
 )
@@ -62,7 +63,7 @@ def _rounded(df: DataFrame, col: str = "value") -> DataFrame:
 def baseline_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """All baselines and the fallback on lines, by fold, with the winner marked."""
     p = lines(spark, sf)
-    board = evaluate.leaderboard(p, ["xgb", "lgb", "cat", "ridge", "random_forest"], SMALL)
+    board = evaluate.leaderboard(p, ["xgb", "lgb", "cat", "ridge", "random_forest"], SMALL, THREADS)
     p.unpersist()
     best = metrics.best_model(metrics.mean_scores(board.where(F.col("error").isNull())))
     best = best.select("metric", F.col("model").alias("best"))
@@ -75,7 +76,7 @@ QUERIES["baseline_leaderboard"] = baseline_leaderboard
 def regression_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """Order prices with a wide category (the customer) target-encoded inside each fold."""
     p = order_prices(spark, sf)
-    board = evaluate.leaderboard(p, ["lgb", "ridge", "linear", "lasso", "naive_bayes"], SMALL)
+    board = evaluate.leaderboard(p, ["lgb", "ridge", "linear", "lasso", "naive_bayes"], SMALL, THREADS)
     p.unpersist()
     return _rounded(board)
 
@@ -89,7 +90,7 @@ def further_models(spark: SparkSession, sf: str) -> DataFrame:
     small = {"mlp": {"maxIter": 10}, "linear_svm": {"maxIter": 5}, "logistic": {"maxIter": 10},
              "elastic_net": {"maxIter": 10}}
     board = evaluate.leaderboard(
-        p, ["logistic", "elastic_net", "tree", "linear_svm", "naive_bayes", "mlp", "ridge"], small
+        p, ["logistic", "elastic_net", "tree", "linear_svm", "naive_bayes", "mlp", "ridge"], small, THREADS
     )
     p.unpersist()
     return _rounded(board)
@@ -261,11 +262,11 @@ QUERIES["early_stopping"] = early_stopping
 def stacked(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic stack, soft vote and calibration of two models' out-of-fold scores."""
     p = lines(spark, sf)
-    parts = []
-    for name, params in (("tree", {"maxDepth": 4}), ("ridge", {})):
-        oof, _ = evaluate.out_of_fold(p, lambda n=name, q=params: REGISTRY[n].build("classification", 2, **q))
-        parts.append(oof.select(KEY, FOLD, LABEL, "score", F.lit(name).alias("model")))
-    long = materialise(parts[0].unionByName(parts[1]))
+    oof, _, _ = evaluate.predict_folds(p, {
+        "tree": lambda: REGISTRY["tree"].build("classification", 2, maxDepth=4),
+        "ridge": lambda: REGISTRY["ridge"].build("classification", 2),
+    }, THREADS)
+    long = oof.select(KEY, FOLD, LABEL, "score", "model")
     p.unpersist()
     slope, intercept = ensemble.platt(long.where(F.col("model") == "ridge"), "score")
     calibrated = long.withColumn("score", F.when(
@@ -289,7 +290,7 @@ def isotonic(spark: SparkSession, sf: str) -> DataFrame:
     """Isotonic calibration of an out-of-fold ridge score: calibrated means per fold."""
     p = lines(spark, sf)
     oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["ridge"].build("classification", 2))
-    scored = materialise(oof.select(KEY, FOLD, LABEL, "score"))
+    scored = oof.select(KEY, FOLD, LABEL, "score")
     p.unpersist()
     model = ensemble.isotonic(scored, "score")
     ready = VectorAssembler(inputCols=["score"], outputCol="_raw_vector").transform(scored)
