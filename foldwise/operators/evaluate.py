@@ -59,7 +59,10 @@ def prepare(
     drop: Sequence[str] = (), one_hot_limit: int = encode.ONE_HOT_LIMIT, stratified: bool = True,
     cleaned: bool = True,
 ) -> Prepared:
-    """Keyed, labelled and folded frame. The key is no feature; the target is encoded once."""
+    """Keyed, labelled and folded frame. The key is no feature; the target is encoded once.
+
+    The rows are spread by key once, because every fit passes over them many times.
+    """
     df = schema.drop_null_target(df, target).withColumn(KEY, key)
     features = [c for c in df.columns if c not in (target, KEY, *drop)]
     df = df.select(KEY, target, *features)
@@ -79,6 +82,7 @@ def prepare(
         df = folds.stratified_kfold(df, LABEL, F.col(KEY), k)
     else:
         df = folds.kfold(df, F.col(KEY), k)
+    df = df.repartition(KEY)
     roles = schema.infer_roles(df, [KEY, LABEL, FOLD])
     routes = encode.route_by_cardinality(df, roles.categorical, one_hot_limit)
     return Prepared(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,10 @@ MAX_CHUNKS = 20_000
 PROBE_CUTS = 256
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 1_000
-EXACT_ROWS = 1 << 22
+SMALL_ROWS = 1 << 18
+EXACT_ROWS = 1 << 18
+SAMPLE_ROWS = 1 << 18
+MOST_SAMPLED = 1 << 24
 ACCURACY = 10_000
 
 
@@ -130,89 +134,127 @@ def row_number_in_group(
     return df.withColumn(name, position.cast("bigint")).drop("_offset")
 
 
+@dataclass
+class Span:
+    """Neighbouring ranks of one column, known to lie strictly inside ``(lo, hi)``.
+
+    ``base`` values are at or below ``lo`` and ``inside`` values lie between; an end that is
+    None is open.
+    """
+
+    name: str
+    ranks: list[int]
+    inside: int
+    base: int = 0
+    lo: float | None = None
+    hi: float | None = None
+    slack: float = 1.0
+
+    def within(self, c: Column) -> Column:
+        if self.lo is not None:
+            c = F.when(c > F.lit(self.lo), c)
+        if self.hi is not None:
+            c = F.when(c < F.lit(self.hi), c)
+        return c
+
+    def shares(self, sampled: float) -> list[float]:
+        """Quantiles of a sample of ``sampled`` values that should enclose the ranks."""
+        margin = min(0.25, self.slack * (3.0 / ACCURACY + 2.0 / math.sqrt(max(sampled, 1.0))))
+        ends = [(r - self.base) / max(self.inside - 1, 1) for r in (self.ranks[0], self.ranks[-1])]
+        return [max(0.0, ends[0] - margin), min(1.0, ends[1] + margin)]
+
+
 def order_statistics(
     df: DataFrame, cols: Mapping[str, Column], ranks: Mapping[str, Sequence[int]],
-    exact_rows: int = EXACT_ROWS,
+    exact_rows: int = EXACT_ROWS, counts: Mapping[str, int] | None = None,
 ) -> dict[str, dict[int, float]]:
     """Exact values at 0-based ``ranks`` of several double columns.
 
-    Each round is one aggregate over all columns: approximate quantiles propose a bracket
-    around every rank, the next pass counts rows against its ends, and a rank that is not at
-    an end continues strictly inside. When the rows left inside all brackets fit
-    ``exact_rows`` their distinct values are counted and read off. Only brackets reach the
-    driver, and ties of any size end at a bracket's end.
+    Each round takes two passes over all columns: quantiles of a sample propose a bracket
+    around neighbouring ranks, and exact counts over all rows settle the ranks at its ends
+    and bound those between; a bracket that missed is proposed again, wider. When the rows
+    left between all ends fit ``exact_rows`` their distinct values are counted and read off.
+    Only brackets reach the driver, and a tie of any size ends at a bracket's end.
     """
+    if counts is None:
+        counts = df.agg(*[F.count(c).alias(n) for n, c in cols.items()]).first().asDict()
     found: dict[str, dict[int, float]] = {n: {} for n in cols}
-    pending = {(n, r): (-math.inf, math.inf) for n in cols for r in ranks.get(n, ())}
-    margin = 3.0 / ACCURACY
-    while pending:
-        keys = list(pending)
-        counts = df.agg(*[
-            F.count_if(test).alias(f"{tag}{i}")
-            for i, key in enumerate(keys)
-            for tag, test in _against(cols[key[0]], *pending[key]).items()
-        ]).first()
-        base, inside = {}, {}
-        for i, key in enumerate(keys):
-            lo, hi = pending[key]
-            below, to_lo = counts[f"lt_lo{i}"], counts[f"le_lo{i}"]
-            to_hi, upto = counts[f"lt_hi{i}"], counts[f"le_hi{i}"]
-            if not below <= key[1] < upto:
-                if (lo, hi) == (-math.inf, math.inf):
-                    raise ValueError(f"{key[0]} has {upto} values, no rank {key[1]}")
-                pending[key] = (-math.inf, math.inf)
-                base[key], inside[key] = 0, math.inf
-            elif key[1] < to_lo:
-                found[key[0]][key[1]] = lo
-                del pending[key]
-            elif key[1] >= to_hi:
-                found[key[0]][key[1]] = hi
-                del pending[key]
+    spans = []
+    for n in cols:
+        for r in sorted(set(ranks.get(n, ()))):
+            if not 0 <= r < counts[n]:
+                raise ValueError(f"{n} has {counts[n]} values, no rank {r}")
+            if spans and spans[-1].name == n and r - spans[-1].ranks[-1] <= 1:
+                spans[-1].ranks.append(r)
             else:
-                base[key], inside[key] = to_lo, to_hi - to_lo
-        if sum(inside.values()) <= exact_rows:
-            for key, value in _read_off(df, cols, pending, base):
-                found[key[0]][key[1]] = value
-            return found
-        live = [k for k in pending if inside[k] != math.inf]
-        if not live:
-            continue
-        at = {k: (k[1] - base[k]) / max(inside[k] - 1, 1) for k in live}
-        proposed = df.agg(*[
-            F.percentile_approx(
-                _strictly_inside(cols[k[0]], *pending[k]),
-                [max(0.0, at[k] - margin), min(1.0, at[k] + margin)], ACCURACY,
-            ).alias(f"q{i}")
-            for i, k in enumerate(live)
+                spans.append(Span(n, [r], counts[n]))
+    trial, exact_rows = 0, max(exact_rows, 16 * len(spans))
+    while sum(span.inside for span in spans) > exact_rows:
+        fewest = min(span.inside for span in spans)
+        wanted = min(max(fewest / 100, SAMPLE_ROWS), MOST_SAMPLED)
+        part = min(1.0, wanted / fewest)
+        sample = df if part == 1.0 else df.sample(part, seed=trial)
+        shares = [span.shares(math.inf if part == 1.0 else part * span.inside) for span in spans]
+        trial += 1
+        proposed = sample.agg(*[
+            F.percentile_approx(span.within(cols[span.name]), q, ACCURACY).alias(f"q{i}")
+            for i, (span, q) in enumerate(zip(spans, shares, strict=True))
         ]).first()
-        for i, k in enumerate(live):
-            lo, hi = proposed[f"q{i}"]
-            pending[k] = (
-                pending[k][0] if at[k] <= margin else lo,
-                pending[k][1] if at[k] >= 1 - margin else hi,
-            )
+        brackets = []
+        for i, (span, (low, high)) in enumerate(zip(spans, shares, strict=True)):
+            lo, hi = proposed[f"q{i}"] or (span.lo, span.hi)
+            brackets.append((lo if low > 0 else span.lo, hi if high < 1 else span.hi))
+        tests = {
+            f"{tag}{i}": test
+            for i, (span, ends) in enumerate(zip(spans, brackets, strict=True))
+            for tag, test in _against(cols[span.name], *ends).items()
+        }
+        seen = df.agg(F.lit(0), *[F.count_if(t).alias(n) for n, t in tests.items()]).first().asDict()
+        spans = [
+            left
+            for i, (span, ends) in enumerate(zip(spans, brackets, strict=True))
+            for left in _settle(span, ends, seen, i, found)
+        ]
+    for span, rank, value in _read_off(df, cols, spans):
+        found[span.name][rank] = value
     return found
 
 
-def _against(c: Column, lo: float, hi: float) -> dict[str, Column]:
-    return {
-        "lt_lo": c < F.lit(lo), "le_lo": c <= F.lit(lo),
-        "lt_hi": c < F.lit(hi), "le_hi": c <= F.lit(hi),
-    }
-
-
-def _strictly_inside(c: Column, lo: float, hi: float) -> Column:
-    return F.when((c > F.lit(lo)) & (c < F.lit(hi)), c)
-
-
-def _read_off(df, cols, pending, base):
-    """Values at the pending ranks, from the counted distinct values inside their brackets."""
-    if not pending:
+def _against(c: Column, lo: float | None, hi: float | None) -> dict[str, Column]:
+    tests = {}
+    if lo is not None:
+        tests |= {"lt_lo": c < F.lit(lo), "le_lo": c <= F.lit(lo)}
+    if hi is not None:
+        tests |= {"lt_hi": c < F.lit(hi), "le_hi": c <= F.lit(hi)}
+    return tests
+
+
+def _settle(span: Span, ends, seen: Mapping[str, int], i: int, found) -> list[Span]:
+    """Record the ranks found at a bracket's ends; return the span still to be searched."""
+    lo, hi = ends
+    stop = span.base + span.inside
+    lt_lo, le_lo = seen.get(f"lt_lo{i}", span.base), seen.get(f"le_lo{i}", span.base)
+    lt_hi, le_hi = seen.get(f"lt_hi{i}", stop), seen.get(f"le_hi{i}", stop)
+    if span.ranks[0] < lt_lo or span.ranks[-1] >= le_hi:
+        return [replace(span, slack=span.slack * 2)]
+    left = []
+    for r in span.ranks:
+        if lo is not None and r < le_lo:
+            found[span.name][r] = lo
+        elif hi is not None and r >= lt_hi:
+            found[span.name][r] = hi
+        else:
+            left.append(r)
+    return [replace(span, ranks=left, base=le_lo, inside=lt_hi - le_lo, lo=lo, hi=hi)] if left else []
+
+
+def _read_off(df, cols, spans):
+    """Values at the ranks left, from the counted distinct values inside their brackets."""
+    if not spans:
         return []
-    keys = list(pending)
     members = F.array(*[
-        F.struct(F.lit(i).alias("slot"), _strictly_inside(cols[k[0]], *pending[k]).alias("v"))
-        for i, k in enumerate(keys)
+        F.struct(F.lit(i).alias("slot"), span.within(cols[span.name]).alias("v"))
+        for i, span in enumerate(spans)
     ])
     counted = (
         df.select(F.explode(members).alias("m")).where("m.v is not null")
@@ -221,19 +263,23 @@ def _read_off(df, cols, pending, base):
     # A slot holds at most its bracket's rows, whose sum was checked against exact_rows.
     upto = F.sum("rows").over(Window.partitionBy("slot").orderBy("v"))
     wanted = F.create_map(*[
-        x for i, k in enumerate(keys) for x in (F.lit(i), F.lit(int(k[1] - base[k])))
+        x for i, span in enumerate(spans)
+        for x in (F.lit(i), F.array(*[F.lit(r - span.base) for r in span.ranks]))
     ])
+    reached = F.filter(
+        wanted[F.col("slot")],
+        lambda at: (F.col("upto") - F.col("rows") <= at) & (at < F.col("upto")),
+    )
     hits = (
-        counted.withColumn("upto", upto).withColumn("at", wanted[F.col("slot")])
-        .where((F.col("upto") - F.col("rows") <= F.col("at")) & (F.col("at") < F.col("upto")))
-        .select("slot", "v").collect()
+        counted.withColumn("upto", upto)
+        .select("slot", "v", F.explode(reached).alias("at")).collect()
     )
-    return [(keys[row["slot"]], row["v"]) for row in hits]
+    return [(spans[h["slot"]], h["at"] + spans[h["slot"]].base, h["v"]) for h in hits]
 
 
 def exact_quantiles(
     df: DataFrame, exprs: Mapping[str, Column], probs: Sequence[float],
-    exact_rows: int = EXACT_ROWS,
+    exact_rows: int = EXACT_ROWS, small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of several columns; None for a column without values."""
     cols = {n: e.cast("double") for n, e in exprs.items()}
@@ -241,14 +287,14 @@ def exact_quantiles(
     if not cols:
         return {}
     counts = df.agg(*[F.count(c).alias(n) for n, c in cols.items()]).first().asDict()
-    if sum(counts.values()) <= exact_rows:
+    if sum(counts.values()) <= min(small_rows, exact_rows):
         row = df.agg(*[F.percentile(c, list(probs)).alias(n) for n, c in cols.items()]).first()
         return {n: list(row[n]) if row[n] is not None else [None] * len(probs) for n in cols}
     ranks = {}
     for n, count in counts.items():
         at = [p * (count - 1) for p in probs] if count else []
         ranks[n] = sorted({f(a) for a in at for f in (math.floor, math.ceil)})
-    values = order_statistics(df, cols, ranks, exact_rows)
+    values = order_statistics(df, cols, ranks, exact_rows, counts)
     out: dict[str, list[float | None]] = {}
     for n, count in counts.items():
         out[n] = []
@@ -275,9 +321,12 @@ def first_rows(
     numbered = df.withColumn("_order", order.cast("double"))
     if n <= small:
         return numbered.orderBy("_order", tie).limit(n).drop("_order")
-    if n >= df.agg(F.count(F.lit(1))).first()[0]:
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    if n >= total:
         return df
-    cut = order_statistics(numbered, {"_order": F.col("_order")}, {"_order": [n - 1]}, exact_rows)
+    cut = order_statistics(
+        numbered, {"_order": F.col("_order")}, {"_order": [n - 1]}, exact_rows, {"_order": total}
+    )
     cut = cut["_order"][n - 1]
     below = numbered.where(F.col("_order") < cut)
     rest = n - below.count()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CLASS_LIMIT = 20
-PROBE_ROWS = 2_000
+PROBE_ROWS = 500
 
 
 def require_column(df: DataFrame, col: str) -> DataFrame:
@@ -91,15 +91,16 @@ def select_role(df: DataFrame, role: str, exclude: Sequence[str] = ()) -> DataFr
 def infer_tasks(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
     """``classification`` for columns with fewer than CLASS_LIMIT distinct present values.
 
-    A few rows already prove that most columns have enough values. Only columns they leave
-    open are counted in full, all of them in one shuffle of their distinct values.
+    A few rows already prove that most columns have enough values: their hashes differ. Only
+    columns they leave open are counted in full, all in one shuffle of their distinct values.
     """
-    rows = df.select(*cols).take(PROBE_ROWS)
-    seen = {c: {r[c] for r in rows if r[c] is not None and r[c] == r[c]} for c in cols}
+    frame = normalise_nan(df.select(*cols))
+    marks = [F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias(c) for c in cols]
+    rows = frame.select(*marks).take(PROBE_ROWS)
+    seen = {c: {r[c] for r in rows if r[c] is not None} for c in cols}
     tasks = {c: "regression" for c in cols if len(seen[c]) >= CLASS_LIMIT}
     unclear = [c for c in cols if c not in tasks]
     if unclear:
-        frame = normalise_nan(df.select(*unclear))
         counted = (
             frame.select(F.explode(F.array(*[
                 F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions import numeric
 from foldwise.operators import profile, schema
+from foldwise.operators.registry import in_parallel
 from foldwise.plans.fixtures import LINE_KEY, SPARSE_ORDERS, line_key, sparse_orders
 from foldwise.session import scratch_path
 from foldwise.sources import sinks, tables
@@ -56,11 +57,11 @@ ORACLE["table_shapes"] = " UNION ALL ".join(
 
 
 def task_inference(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [
-        (name, c, task)
-        for name, cols in COLUMNS.items()
-        for c, task in schema.infer_tasks(table(spark, sf, name), cols).items()
-    ]
+    found = in_parallel([
+        lambda n=n, c=c: [(n, *x) for x in schema.infer_tasks(table(spark, sf, n), c).items()]
+        for n, c in COLUMNS.items()
+    ], 4)
+    rows = [row for part in found for row in part]
     return spark.createDataFrame(rows, "`table` STRING, column STRING, task STRING")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from foldwise.functions.hashing import SEED, hash52
 from foldwise.operators.ordered import first_rows
+from foldwise.session import materialise
 
 MAX_ROWS = 100_000
 FORMATS = {"csv": "csv", "tsv": "csv", "json": "json", "orc": "orc", "parquet": "parquet"}
@@ -70,9 +72,21 @@ def first_n(df: DataFrame, key: str, n: int = MAX_ROWS) -> DataFrame:
 
 
 def hashed_n(df: DataFrame, key: Column, n: int = MAX_ROWS, seed: int = SEED) -> DataFrame:
-    """``n`` rows by key hash: the same on every partitioning."""
-    keyed = df.withColumn("_key", key)
-    return first_rows(keyed, hash52(F.col("_key"), seed), "_key", n).drop("_key")
+    """``n`` rows by key hash: the same on every partitioning.
+
+    Hashes are uniform, so a filter a little above the expected cut leaves hardly more than
+    ``n`` rows; the exact cut is made among those, or among all if they are too few.
+    """
+    hashed = df.withColumn("_key", key).withColumn("_hash", hash52(F.col("_key"), seed))
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    if n >= total:
+        return df
+    share = (n + 8 * math.sqrt(n) + 8) / total
+    near = hashed
+    if share < 1:
+        near = materialise(hashed.where(F.col("_hash") < F.lit(int(share * (1 << 52)))))
+        near = near if near.count() >= n else hashed
+    return first_rows(near, F.col("_hash"), "_key", n).drop("_key", "_hash")
 
 
 def hashed_share(df: DataFrame, key: Column, share: float, seed: int = SEED) -> DataFrame:
