@@ -178,16 +178,16 @@ def predict_folds(
 
     The preparation is fitted once per fold for all models, and the predictions are written
     once, so metrics read them and not the models again. A model that fails in any fold is
-    left out and reported. Returns the long table ``(model, key, fold, label, prediction,
+    left out and reported. Models run side by side on a fold's vectors; folds do when there
+    are more threads than models. Returns the long table ``(model, key, fold, label, prediction,
     score, probabilities)``, the errors, and the last fold's fitted pipelines.
     """
-    errors: dict[str, str] = {}
-    parts: dict[str, list[DataFrame]] = {name: [] for name in builders}
-    last: dict[str, PipelineModel] = {}
-    for i in range(p.folds):
+    side_by_side = max(1, parallelism // max(len(builders), 1))
+
+    def one_fold(i: int) -> list:
         with fold_vectors(p, i) as (prep, train, valid):
 
-            def run(name, prep=prep, train=train, valid=valid):
+            def run(name: str):
                 try:
                     model = builders[name]().fit(train)
                     scored = output_columns(p, model.transform(valid), FOLD, LABEL)
@@ -196,13 +196,18 @@ def predict_folds(
                 except Exception as e:
                     return name, None, str(e).splitlines()[0][:500]
 
-            live = [n for n in builders if n not in errors]
-            for name, scored, model in in_parallel([lambda n=n: run(n) for n in live], parallelism):
-                if scored is None:
-                    errors[name] = model
-                else:
-                    parts[name].append(scored)
-                    last[name] = model
+            return in_parallel([lambda n=n: run(n) for n in builders], parallelism)
+
+    errors: dict[str, str] = {}
+    parts: dict[str, list[DataFrame]] = {name: [] for name in builders}
+    last: dict[str, PipelineModel] = {}
+    for fold in in_parallel([lambda i=i: one_fold(i) for i in range(p.folds)], side_by_side):
+        for name, scored, model in fold:
+            if scored is None:
+                errors[name] = model
+            else:
+                parts[name].append(scored)
+                last[name] = model
     whole = [part for name, found in parts.items() if name not in errors for part in found]
     out = None
     for part in whole:

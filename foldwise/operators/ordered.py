@@ -25,7 +25,7 @@ MAX_CHUNKS = 20_000
 PROBE_CUTS = 256
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 1_000
-SMALL_ROWS = 1 << 18
+SMALL_ROWS = 6_000_000
 EXACT_ROWS = 1 << 18
 SAMPLE_ROWS = 1 << 18
 MOST_SAMPLED = 1 << 24
@@ -281,7 +281,11 @@ def exact_quantiles(
     df: DataFrame, exprs: Mapping[str, Column], probs: Sequence[float],
     exact_rows: int = EXACT_ROWS, small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Exact interpolated quantiles of several columns; None for a column without values."""
+    """Exact interpolated quantiles of several columns; None for a column without values.
+
+    One task merges the counted values of the built-in aggregate, so it serves only up to
+    ``small_rows`` values in all columns together; beyond, the ranks are searched.
+    """
     cols = {n: e.cast("double") for n, e in exprs.items()}
     cols = {n: F.when(~F.isnan(c), c) for n, c in cols.items()}
     if not cols:

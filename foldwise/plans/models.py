@@ -102,7 +102,7 @@ QUERIES["further_models"] = further_models
 def oof_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Out-of-fold predictions of all lines: each line once, by the fold it was held out in."""
     p = lines(spark, sf, 5)
-    oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["logistic"].build("classification", 2, maxIter=5))
+    oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["logistic"].build("classification", 2, maxIter=5), THREADS)
     return oof.groupBy(FOLD).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(KEY).alias("n_keys"),
         F.sum(LABEL).cast("bigint").alias("n_returned"),
@@ -289,7 +289,7 @@ QUERIES["stacked"] = stacked
 def isotonic(spark: SparkSession, sf: str) -> DataFrame:
     """Isotonic calibration of an out-of-fold ridge score: calibrated means per fold."""
     p = lines(spark, sf)
-    oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["ridge"].build("classification", 2))
+    oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["ridge"].build("classification", 2), THREADS)
     scored = oof.select(KEY, FOLD, LABEL, "score")
     p.unpersist()
     model = ensemble.isotonic(scored, "score")
@@ -306,7 +306,7 @@ QUERIES["isotonic"] = isotonic
 def log_target(spark: SparkSession, sf: str) -> DataFrame:
     """Prices fitted on their logarithm and predicted on their own scale."""
     p = order_prices(spark, sf)
-    oof, _ = evaluate.out_of_fold(p, lambda: evaluate.LogTarget(Ridge(1.0)))
+    oof, _ = evaluate.out_of_fold(p, lambda: evaluate.LogTarget(Ridge(1.0)), THREADS)
     rows = evaluate.scores_of(p, oof).collect()
     p.unpersist()
     return _rounded(spark.createDataFrame(rows, "fold int, metric string, value double"))
