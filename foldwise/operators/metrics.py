@@ -206,6 +206,7 @@ def argmax(probs: Column) -> Column:
     return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
 
 
+# Fixed values below: the layout of the text reports.
 def binary_text(report: DataFrame, model: str = "model") -> DataFrame:
     """One text block per model."""
     text = F.format_string(

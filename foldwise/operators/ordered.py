@@ -372,20 +372,32 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with unique keys, chosen by the table's measured size.
 
-    Up to ``limit`` rows the table is broadcast. Beyond, keys that carry over 1/HOT_KEYS of
-    the ``weight`` (fewer than HOT_KEYS by arithmetic) are broadcast on their own and the
-    other rows are shuffled, so one hot key never lands in one task. The table is written
-    once, so measuring it does not compute it twice.
+    Up to ``limit`` rows the table is broadcast. Beyond, the keys that carry over 1/HOT_KEYS
+    of the rows (fewer than HOT_KEYS by arithmetic) are broadcast on their own and the other
+    rows are shuffled, so one hot key never lands in one task; rows without a key need no
+    join. ``weight`` is a column of the table that counts the rows of each key; without it
+    they are counted. The table is written once, so measuring it does not compute it twice.
     """
     on = list(on)
     table = materialise(table)
     if table.limit(limit + 1).count() <= limit:
         return df.join(F.broadcast(table), on, "left")
     if weight is None:
-        return df.join(table, on, "left")
-    total = table.agg(F.sum(weight)).first()[0]
-    hot = table.where(F.col(weight) * HOT_KEYS > F.lit(total))
-    cold = table.where(F.col(weight) * HOT_KEYS <= F.lit(total))
-    head = df.join(F.broadcast(hot), on, "inner")
-    tail = df.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, "left")
-    return head.unionByName(tail)
+        counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+        total = df.agg(F.count(F.lit(1))).first()[0]
+    else:
+        counts = table.select(*on, F.col(weight).alias("_rows"))
+        total = table.agg(F.sum(weight)).first()[0]
+    heavy = materialise(counts.where(F.col("_rows") * HOT_KEYS > F.lit(total)).select(*on))
+    keyed = F.lit(True)
+    for c in on:
+        keyed = keyed & F.col(c).isNotNull()
+    hot = F.broadcast(table.join(F.broadcast(heavy), on, "left_semi"))
+    cold = table.join(F.broadcast(heavy), on, "left_anti")
+    rows = df.where(keyed)
+    head = rows.join(F.broadcast(heavy), on, "left_semi").join(hot, on, "left")
+    tail = rows.join(F.broadcast(heavy), on, "left_anti").join(cold, on, "left")
+    rest = df.where(~keyed).withColumns({
+        f.name: F.lit(None).cast(f.dataType) for f in table.schema.fields if f.name not in on
+    })
+    return head.unionByName(tail).unionByName(rest)

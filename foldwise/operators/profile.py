@@ -217,6 +217,7 @@ def profile_report(df: DataFrame, target: str, key: Column) -> DataFrame:
     return out
 
 
+# Section titles of the rendered profile.
 TITLES = {
     "overview": "Dataset Overview", "target": "Target Profiling",
     "correlation": "Feature-to-Target Correlation (Numerical)",

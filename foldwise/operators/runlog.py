@@ -5,7 +5,7 @@ Every ordered step is cut in chunks of the order, so one long experiment spreads
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame

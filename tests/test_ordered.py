@@ -114,13 +114,17 @@ def test_dense_codes_by_range_equal_window(spark):
     assert small.exceptAll(large).count() == 0 and large.count() == 500
 
 
-def test_lookup_join_splits_hot_keys(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    table = df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("k <> 7")
-    got = ordered.lookup_join(df, table, ["k"], "n", limit=5)
+@pytest.mark.parametrize("weight", ["n", None])
+def test_lookup_join_splits_hot_keys(spark, weight):
+    """A third of the rows share a key, some have none, and one hot key is not in the table."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, -1).when(
+        F.col("id") % 10 != 7, F.col("id"))
+    df = spark.range(3000).select("id", key.alias("k"))
+    table = df.where("k is not null and k <> -1 and k <> 8").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = ordered.lookup_join(df, table, ["k"], weight, limit=5)
     want = df.join(table, "k", "left")
     assert got.count() == 3000
-    assert got.select("k", "n").exceptAll(want.select("k", "n")).count() == 0
+    assert got.select("id", "k", "n").exceptAll(want.select("id", "k", "n")).count() == 0
 
 
 def test_first_rows_by_cut_equal_top_n(spark):
