@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldwise.session import materialise
 
-__all__ = ["bytes_within", "materialise", "remainder", "table", "unsigned"]
+__all__ = ["bytes_within", "labelled_sample", "materialise", "remainder", "table", "unsigned"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -29,3 +29,19 @@ def bytes_within(df: DataFrame, limit: int) -> bool:
     """Whether the rows of ``df``, as text, hold at most ``limit`` bytes: the check before a broadcast."""
     size = df.select(F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("n"))
     return size.first().n <= limit
+
+
+def labelled_sample(labels: DataFrame, column: str, modulus: int, held_out: int, per_class: int) -> DataFrame:
+    """doc_id and ``label`` of at most ``per_class`` learnable rows of each class of ``labels``.
+
+    Rows whose crc32 remainder is ``held_out``, NULL ids and labels other than 0 and 1 are left
+    out; the rest is taken in the order of a hash, so the same rows give the same sample. Of an
+    id's repeated rows the largest label counts.
+    """
+    known = labels.select(F.col("doc_id"), F.col(column).cast("int").alias("label")).where(
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), modulus) != held_out)
+    )
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    order = F.xxhash64(F.lit("sample"), "doc_id")
+    parts = [known.where(F.col("label") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
+    return parts[0].unionByName(parts[1])
