@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldwise.llm.common import table
@@ -254,6 +255,28 @@ def matches(
     return found
 
 
+def clean(
+    docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, min_chars: int = MIN_CHARS,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of ``docs`` in whose ``text`` no test item is found, as :func:`matches` finds them.
+
+    Rows are judged one by one, without a shuffle; NULL ids and repeated rows need no care.
+    """
+    kept = docs
+    for block in blocks(items.select("item_id", "text"), block_chars):
+        sent = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(sent.value, rate, min_chars)
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index("text"))
+                yield batch.filter(pa.array([not matcher.find(t.as_py()) for t in texts], pa.bool_()))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item found in it, with the stretch and its edits."""
     return matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))

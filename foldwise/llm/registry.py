@@ -1,8 +1,8 @@
 """All queries of this subpackage."""
 
-from foldwise.llm import chat, linededup, simhash, topk
+from foldwise.llm import chat, decontam, htmltext, linededup, packing, quality, secrets, simhash, topk, toxicity
 
-MODULES = (linededup, simhash, topk, chat)
+MODULES = (htmltext, decontam, toxicity, quality, packing, secrets, linededup, simhash, topk, chat)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in MODULES for name, sql in m.ORACLE.items()}

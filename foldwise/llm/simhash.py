@@ -123,6 +123,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, distance: int = 3, seed: in
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, words: int = 5, distance: int = 3, seed: int = 42) -> DataFrame:
+    """``docs`` with one row of each component of :func:`near_duplicates`: that of the smallest doc_id.
+
+    Rows without an id can't be named, so they stay and stand for no group.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    found = near_duplicates(named, words, distance, seed)
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by 3-word SimHash fingerprints within 3 bits."""
     found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, distance=3)
