@@ -115,53 +115,43 @@ def pieces(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY)
 
 
 class Bins:
-    """Open bins by free space, for best fit in constant time a piece."""
+    """Bins by free space, for best fit in constant time a piece."""
 
-    def __init__(self, size: int):
-        self.size, self.members, self.free = size, [], []
+    def __init__(self, size: int, free: list[int] | None = None):
+        self.size, self.free = size, free or []
         self.by_space: list[list[int]] = [[] for _ in range(size + 1)]
-        self.spaces = 0
-
-    def open(self, members: list[int], free: int) -> None:
-        self.members.append(members)
-        self.free.append(free)
-        self.offer(len(self.free) - 1)
+        for b, space in enumerate(self.free):
+            self.by_space[space].append(b)
+        self.spaces = sum([1 << space for space in set(self.free) - {0}])
 
-    def offer(self, b: int) -> None:
-        space = self.free[b]
+    def put(self, length: int) -> int:
+        """The bin where the least space is left, or a new one."""
+        fitting = self.spaces >> length
+        if fitting:
+            space = length + (fitting & -fitting).bit_length() - 1
+            stack = self.by_space[space]
+            b = stack.pop()
+            if not stack:
+                self.spaces ^= 1 << space
+            space -= length
+        else:
+            b, space = len(self.free), self.size - length
+            self.free.append(space)
+        self.free[b] = space
         if space:
             self.by_space[space].append(b)
             self.spaces |= 1 << space
+        return b
 
-    def put(self, item: int, length: int) -> None:
-        """Into the bin where the least space is left, or a new one."""
-        fitting = self.spaces >> length
-        if not fitting:
-            self.open([item], self.size - length)
-            return
-        space = length + (fitting & -fitting).bit_length() - 1
-        stack = self.by_space[space]
-        b = stack.pop()
-        if not stack:
-            self.spaces ^= 1 << space
-        self.members[b].append(item)
-        self.free[b] -= length
-        self.offer(b)
-
-
-def assigned(bins: Bins, n: int) -> np.ndarray:
-    out = np.empty(n, np.int32)
-    for b, members in enumerate(bins.members):
-        out[members] = b
-    return out
+    def place(self, items: np.ndarray, lengths: np.ndarray, member: np.ndarray) -> np.ndarray:
+        """``member`` with the bins of ``items``, put in their order."""
+        put = self.put
+        member[items] = [put(length) for length in lengths[items].tolist()]
+        return member
 
 
 def best_fit(lengths: np.ndarray, order: np.ndarray, size: int) -> np.ndarray:
-    bins = Bins(size)
-    sizes = lengths.tolist()
-    for item in order.tolist():
-        bins.put(item, sizes[item])
-    return assigned(bins, len(lengths))
+    return Bins(size).place(order, lengths, np.empty(len(lengths), np.int32))
 
 
 def fills(member: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -186,18 +176,13 @@ def cross(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, size: int, rng: np.
     gone = np.zeros(len(own), bool)
     gone[a[injected]] = True
     gone[np.argsort(own, kind="stable")[: 1 + len(own) // 50]] = True
-    bins = Bins(size)
-    sizes = lengths.tolist()
-    for part, member in ((np.flatnonzero(injected), b), (np.flatnonzero(~gone[a] & ~injected), a)):
-        part = part[np.argsort(member[part], kind="stable")]
-        edges = np.flatnonzero(np.diff(member[part], prepend=-1))
-        for group in np.split(part, edges[1:]):
-            if len(group):
-                bins.open(group.tolist(), size - int(lengths[group].sum()))
     displaced = np.flatnonzero(gone[a] & ~injected)
-    for item in displaced[np.argsort(-lengths[displaced], kind="stable")].tolist():
-        bins.put(item, sizes[item])
-    return assigned(bins, len(lengths))
+    stays = ~gone[a] | injected
+    member = np.full(len(a), -1, np.int32)
+    groups, member[stays] = np.unique(np.where(injected, b, a + len(full))[stays], return_inverse=True)
+    taken = np.bincount(member[stays], lengths[stays], len(groups))
+    by_length = displaced[np.argsort(-lengths[displaced], kind="stable")]
+    return Bins(size, (size - taken.astype(np.int64)).tolist()).place(by_length, lengths, member)
 
 
 def evolve(
