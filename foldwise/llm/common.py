@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldwise.session import materialise
 
-__all__ = ["bytes_within", "labelled_sample", "materialise", "remainder", "table", "unsigned"]
+__all__ = ["bytes_within", "hash_sample", "labelled_sample", "materialise", "remainder", "table", "unsigned"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,13 +35,24 @@ def labelled_sample(labels: DataFrame, column: str, modulus: int, held_out: int,
     """doc_id and ``label`` of at most ``per_class`` learnable rows of each class of ``labels``.
 
     Rows whose crc32 remainder is ``held_out``, NULL ids and labels other than 0 and 1 are left
-    out; the rest is taken in the order of a hash, so the same rows give the same sample. Of an
-    id's repeated rows the largest label counts.
+    out; the rest is taken by :func:`hash_sample`. Of an id's repeated rows the largest label counts.
     """
     known = labels.select(F.col("doc_id"), F.col(column).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), modulus) != held_out)
     )
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    parts = [known.where(F.col("label") == c).orderBy(order, "doc_id").limit(per_class) for c in (0, 1)]
+    parts = [hash_sample(known.where(F.col("label") == c), per_class, "doc_id") for c in (0, 1)]
     return parts[0].unionByName(parts[1])
+
+
+def hash_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """All of ``df``, or about nine tenths of ``rows`` rows whose keys' hash is below a bound, never over ``rows``.
+
+    Rows are judged one by one, so no task gathers more than the sample, and the same rows give the
+    same sample (but for repeated keys that alone pass the bound, of which some are taken).
+    """
+    n = df.count()
+    if n > rows:
+        bound = int((1 << 30) * 0.9 * rows / n)
+        df = df.where(F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(1 << 30)) < bound)
+    return df.limit(rows)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from foldwise.llm.common import table
+from foldwise.llm.common import hash_sample, table
 
 #: The bound of the training sample: pages, and characters of a page in it.
 SAMPLE_PAGES, SAMPLE_CHARS = 300, 40_000
@@ -409,12 +409,10 @@ def varied(pages: list[list[Block]], rng: np.random.Generator) -> list[list[Bloc
 
 
 def train(pages: DataFrame) -> Labeller:
-    """A labeller from at most SAMPLE_PAGES pages of at most SAMPLE_CHARS characters, in a hash's order."""
-    rows = (
-        pages.select("html").where(F.length("html").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()
-    )
-    sample = [by_markup(b) for b in (leaf_blocks(r.html) for r in rows) if b]
+    """A labeller from at most SAMPLE_PAGES pages of at most SAMPLE_CHARS characters."""
+    fit = pages.select("html").where(F.length("html").between(1, SAMPLE_CHARS))
+    rows = sorted(r.html for r in hash_sample(fit, SAMPLE_PAGES, "html").collect())
+    sample = [by_markup(b) for b in map(leaf_blocks, rows) if b]
     rng = np.random.default_rng(SEED)
     labeller = Labeller(rng)
     return labeller.fit(lambda r: varied(sample, r), rng) if sample else labeller

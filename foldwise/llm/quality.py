@@ -189,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_out: int =
     names = list(STATISTICS)
     rows = (
         statistics(docs.select("doc_id", "text").join(sample, "doc_id").dropDuplicates(), ["doc_id", "label"])
-        .orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(2 * PER_CLASS).collect()
+        .limit(2 * PER_CLASS).collect()
     )
     rows.sort()
     x = np.array([r[2:] for r in rows], float).reshape(len(rows), len(names))

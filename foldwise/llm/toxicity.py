@@ -165,8 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
     sample = F.broadcast(labelled_sample(labels, "toxic", modulus, held_out, PER_CLASS))
     rows = (
         docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(sample, "doc_id")
-        .dropDuplicates().select("doc_id", "text", "label")
-        .orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id", "text").limit(2 * PER_CLASS).collect()
+        .dropDuplicates().select("doc_id", "text", "label").limit(2 * PER_CLASS).collect()
     )
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return Model.fit([r.text for r in rows], [r.label for r in rows])
