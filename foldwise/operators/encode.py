@@ -98,7 +98,8 @@ def encoding_by_fold(
     """Out-of-fold encodings from counts ``(keys, cat, fold, n, s)``.
 
     A fold's encoding uses the category's totals less the fold's own part, and the target
-    mean of the other folds as prior. A category has at most k rows here.
+    mean of the other folds as prior; without another fold, the mean of all. A category has at
+    most k rows here.
     """
     rows, total = F.col("n").cast("double"), F.col("s").cast("double")
     of_cat = Window.partitionBy(*keys, cat)
@@ -107,8 +108,10 @@ def encoding_by_fold(
     whole = Window.partitionBy(*keys)
     priors = by_fold.select(
         *keys, fold,
-        ((F.sum("_s").over(whole) - F.col("_s")) / (F.sum("_n").over(whole) - F.col("_n")))
-        .alias("_prior"),
+        F.coalesce(
+            F.try_divide(F.sum("_s").over(whole) - F.col("_s"), F.sum("_n").over(whole) - F.col("_n")),
+            F.try_divide(F.sum("_s").over(whole), F.sum("_n").over(whole)),
+        ).alias("_prior"),
     )
     out = counts.withColumns({
         "_rest_n": F.sum(rows).over(of_cat) - rows, "_rest_s": F.sum(total).over(of_cat) - total,

@@ -18,6 +18,8 @@ from foldwise.operators.preprocess import CategoryImputer, NumericPreparer, date
 from foldwise.operators.registry import FEATURES, LABEL, PREDICTION, RAW, candidate, in_parallel
 from foldwise.session import materialise
 
+#: Classes a target may have; their list is kept on the driver.
+MAX_CLASSES = 1000
 KEY, FOLD, SCORE, PROBABILITIES = "key", "fold", "score", "probabilities"
 INNER_SEED = 4242
 
@@ -74,7 +76,9 @@ def prepare(
     df = as_features(df, [KEY, target])
     classes: list = []
     if task == "classification":
-        classes = [r[0] for r in df.select(target).distinct().orderBy(target).take(1001)]
+        classes = [r[0] for r in df.select(target).distinct().orderBy(target).take(MAX_CLASSES + 1)]
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"{target} has over {MAX_CLASSES} classes")
         df = encode.encode_label(df, target, LABEL).drop(target)
     else:
         df = df.withColumn(LABEL, F.col(target).cast("double")).drop(target)
@@ -194,7 +198,7 @@ def predict_folds(
                     scored = scored.select(F.lit(name).alias("model"), "*")
                     return name, materialise(scored), PipelineModel([*prep.stages, model])
                 except Exception as e:
-                    return name, None, str(e).splitlines()[0][:500]
+                    return name, None, str(e) or repr(e)
 
             return in_parallel([lambda n=n: run(n) for n in builders], parallelism)
 
@@ -326,7 +330,10 @@ class LogTarget(Estimator):
         self.estimator = estimator
 
     def _fit(self, df: DataFrame):
-        inner = self.estimator.fit(df.withColumn(LABEL, F.log1p(LABEL)))
+        label = F.when(F.col(LABEL) > -1, F.log1p(LABEL)).otherwise(
+            F.raise_error(F.lit("a label of -1 or below has no logarithm")).cast("double")
+        )
+        inner = self.estimator.fit(df.withColumn(LABEL, label))
         return LogTargetModel(inner)
 
 

@@ -83,6 +83,16 @@ def chunk_count(df: DataFrame) -> int:
     return df.schema[CHUNK].metadata.get("chunks", MAX_CHUNKS)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``keys``, where NULL equals NULL, so that no row is lost."""
+    names = {k: f"__right_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    same = F.lit(True)
+    for k, name in names.items():
+        same = same & left[k].eqNullSafe(right[name])
+    return left.join(right, same, how).drop(*names.values())
+
+
 def chunk_carry(
     df: DataFrame, group: Sequence[str], partials: Mapping[str, Column],
     carries: Mapping[str, tuple[str, Callable[[Column], Column]]],
@@ -91,7 +101,7 @@ def chunk_carry(
 
     ``partials`` aggregates one chunk; each carry ``name: (partial, fn)`` folds the partials
     of earlier chunks with ``fn``. The carry table has one row per (group, chunk), and the
-    window over it sees at most ``MAX_CHUNKS`` rows of one group. Group keys are never NULL.
+    window over it sees at most ``MAX_CHUNKS`` rows of one group. A NULL key is a group like any other.
     """
     keys = [*group, CHUNK]
     table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in partials.items()])
@@ -105,7 +115,7 @@ def chunk_carry(
     if chunk_count(df) == 1:
         types = {n: table.schema[n].dataType for n in carries}
         return df.withColumns({n: F.lit(None).cast(t) for n, t in types.items()})
-    return df.join(table, keys, "left")
+    return join_null_safe(df, table, keys, "left")
 
 
 def rows_before(group: Sequence[str], order: Sequence[str | Column]) -> Window:

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from foldwise.functions import text
 from foldwise.operators.ordered import (
-    CHUNK, CHUNK_ROWS, chunk_carry, chunk_count, lookup_join, rows_before, with_chunks,
+    CHUNK, CHUNK_ROWS, chunk_carry, chunk_count, join_null_safe, lookup_join, rows_before, with_chunks,
 )
 from foldwise.session import materialise
 
@@ -322,11 +322,11 @@ def replay_policy(
         )
         starts = runs.groupBy(*keys).agg(F.first("_start").alias("_start"))
         entries = (
-            maps.join(starts, keys).select(*keys, "_start", "_map").repartition(group)
+            join_null_safe(maps, starts, keys).select(*keys, "_start", "_map").repartition(group)
             .sortWithinPartitions(*keys)
             .mapInArrow(_entries, f"`{group}` {id_type}, {CHUNK} int, _entry int")
         )
-        runs = runs.join(entries, keys)
+        runs = join_null_safe(runs, entries, keys)
     runs = runs.drop("_best", "_start")
     kept = [f for f in runs.schema.fields if f.name not in ("_first", "_symbol", "_entry")]
     schema = T.StructType([

@@ -64,7 +64,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
         "classes", F.lit(0.0),
         lambda acc, x: acc + x["n"] * (x["mean"] - grand) * (x["mean"] - grand),
     )
-    f = ratio(between / (F.col("k") - 1), F.col("within") / (F.col("n") - F.col("k")))
+    f = ratio(F.try_divide(between, F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k")))
     return per_column.select("column", F.when(F.col("k") > 1, f).alias("score"))
 
 
