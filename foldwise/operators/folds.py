@@ -71,10 +71,11 @@ def time_blocks(df: DataFrame, time: str, splits: int = 5) -> DataFrame:
     Split i trains on ``block < i`` and validates on ``block = i``, for i = 1..splits.
     """
     probs = [i / (splits + 1) for i in range(1, splits + 1)]
-    number = order_number(df, time)
-    cuts = exact_quantiles(df, {"t": number}, probs)["t"]
-    block = sum((F.when(number > F.lit(c), 1).otherwise(0) for c in cuts if c is not None), F.lit(0))
-    return df.withColumn("block", block.cast("int"))
+    # The number is computed once a pass, not once for each bracket and cut.
+    numbered = df.withColumn("_number", order_number(df, time))
+    cuts = exact_quantiles(numbered.select("_number"), {"t": F.col("_number")}, probs)["t"]
+    later = F.filter(F.array(*[F.lit(c) for c in cuts if c is not None]).cast("array<double>"), lambda c: F.col("_number") > c)
+    return numbered.withColumn("block", F.size(later)).drop("_number")
 
 
 def split_fold(df: DataFrame, i: int, name: str = FOLD) -> tuple[DataFrame, DataFrame]:
