@@ -414,7 +414,7 @@ def train(pages: DataFrame) -> Labeller:
     rows = sorted(r.html for r in hash_sample(fit, SAMPLE_PAGES, "html").collect())
     sample = [by_markup(b) for b in map(leaf_blocks, rows) if b]
     if sample:  # few pages are varied the more often
-        sample = sample * -(-SAMPLE_PAGES // len(sample))
+        sample = sample * max(1, SAMPLE_PAGES // len(sample))
     rng = np.random.default_rng(SEED)
     labeller = Labeller(rng)
     return labeller.fit(lambda r: varied(sample, r), rng) if sample else labeller
