@@ -229,6 +229,13 @@ def out_of_fold(
     return oof.drop("model"), models["model"]
 
 
+def scorer_names(p: Prepared) -> tuple[str, ...]:
+    """The metrics that :func:`scores_of` makes for a task."""
+    if p.task == "regression":
+        return tuple(metrics.REGRESSION_SCORERS)
+    return ("accuracy", "f1", "roc_auc") if len(p.classes) <= 2 else ("accuracy", "f1_macro", "f1_micro", "roc_auc")
+
+
 def scores_of(p: Prepared, oof: DataFrame, by: Sequence[str] = (FOLD,)) -> DataFrame:
     """Metrics per fold in long form ``(fold, metric, value)``; higher is better for each."""
     by = list(by)

@@ -44,3 +44,12 @@ def test_target_encoding_with_one_fold(spark):
 def test_f_of_one_row_per_class(spark):
     df = spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 4.0)], "y int, x double")
     assert select.anova_f(df, ["x"], "y").collect()[0]["score"] is None
+
+
+def test_unknown_metric_is_rejected_before_any_fit():
+    from types import SimpleNamespace
+
+    from foldwise.operators import tuning
+
+    with pytest.raises(ValueError, match="neg_log_loss"):
+        tuning.search(SimpleNamespace(task="classification", classes=[0, 1], frame=None), "lgb", metric="neg_log_loss")
