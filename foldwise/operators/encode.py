@@ -157,7 +157,7 @@ class TargetEncoder(Estimator):
         tables = {}
         for c in self.cols:
             value = F.coalesce(F.col(c).cast("string"), F.lit("missing"))
-            tables[c] = (
+            tables[c] = materialise(
                 df.groupBy(value.alias(c)).agg(F.count(y).alias("n"), F.sum(y).alias("s"))
                 .select(c, "n", smoothed(F.col("s"), F.col("n"), F.lit(prior), self.smooth)
                         .alias(f"{c}{self.suffix}"))

@@ -7,14 +7,19 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.feature import (
+    OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler, VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators import encode, folds, metrics, schema
-from foldwise.operators.preprocess import CategoryImputer, NumericPreparer, date_parts
+from foldwise.operators.preprocess import (
+    MISSING, CategoryImputer, CategoryImputerModel, NumericPreparer, NumericPreparerModel, date_parts,
+    fit_categories_by_fold, fit_scaling_by_fold,
+)
 from foldwise.operators.registry import FEATURES, LABEL, PREDICTION, RAW, candidate, in_parallel
 from foldwise.session import materialise
 
@@ -96,21 +101,56 @@ def prepare(
     )
 
 
-def preparation(p: Prepared, impute: str = "median", scale: str | None = "standard") -> list:
-    """Stages from raw columns to the feature vector; an unseen category is all zeros."""
-    numeric = [*p.numeric, *[f"{c}_target" for c in p.by_target]]
-    index, hot = [f"{c}_index" for c in p.one_hot], [f"{c}_hot" for c in p.one_hot]
-    stages: list = [NumericPreparer(numeric, impute, scale)]
+def preparation(
+    p: Prepared, impute: str = "median", scale: str | None = "standard", fitted: Sequence[Model] = (),
+) -> list:
+    """Stages from raw columns to the feature vector; an unseen category is all zeros.
+
+    ``fitted`` are the first stages, if :func:`fit_by_fold` made them; target-encoded columns
+    depend on the training rows' own folds and are always fitted here.
+    """
+    encoded = [f"{c}_target" for c in p.by_target]
+    numeric, hot = [*p.numeric, *encoded], [f"{c}_hot" for c in p.one_hot]
+    index = [f"{c}_index" for c in p.one_hot]
+    if fitted:
+        stages = [*fitted, *([NumericPreparer(encoded, impute, scale)] if encoded else [])]
+    else:
+        stages = [NumericPreparer(numeric, impute, scale)]
+        if p.one_hot:
+            stages += [
+                CategoryImputer(p.one_hot),
+                StringIndexer(inputCols=p.one_hot, outputCols=index, handleInvalid="keep",
+                              stringOrderType="alphabetAsc"),
+            ]
     if p.one_hot:
-        stages += [
-            CategoryImputer(p.one_hot),
-            StringIndexer(inputCols=p.one_hot, outputCols=index, handleInvalid="keep",
-                          stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="error"),
-        ]
+        stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True, handleInvalid="error"))
     return [*stages, VectorAssembler(inputCols=[*numeric, *hot], outputCol=FEATURES)]
 
 
+def fit_by_fold(p: Prepared) -> list[list[Model]]:
+    """Per fold the imputation, scaling and category stages fitted on the other folds.
+
+    Every statistic of all folds comes from one pass over the rows, not from a pass per fold.
+    """
+    held = range(p.folds)
+    scalings = fit_scaling_by_fold(p.frame, p.numeric, FOLD, "median", held)
+    categories = fit_categories_by_fold(p.frame, p.one_hot, held, FOLD)
+    out = []
+    for i in held:
+        stages: list[Model] = [NumericPreparerModel({c: scalings[c][i] for c in p.numeric})]
+        if p.one_hot:
+            found = categories[i]
+            stages += [
+                CategoryImputerModel({c: MISSING if found[c][0] is None else found[c][0] for c in p.one_hot}),
+                StringIndexerModel.from_arrays_of_labels(
+                    [found[c][1] or [MISSING] for c in p.one_hot], p.one_hot,
+                    [f"{c}_index" for c in p.one_hot], handleInvalid="keep",
+                ),
+            ]
+        out.append(stages)
+    return out
+
+
 def encode_by_target(p: Prepared, train: DataFrame, others: Sequence[DataFrame]):
     """Target-encode the wide categories: training rows out of fold, other rows by all of train."""
     if not p.by_target:
@@ -157,11 +197,11 @@ def fit_fold(p: Prepared, estimator: Estimator, i: int, stages=None) -> tuple[Pi
 
 
 @contextmanager
-def fold_vectors(p: Prepared, i: int):
+def fold_vectors(p: Prepared, i: int, fitted: Sequence[Model] = ()):
     """Preparation fitted on the other folds, with training and held-out vectors kept for all models."""
     train, valid = folds.split_fold(p.frame, i)
     train, (valid,) = encode_by_target(p, train, [valid])
-    prep = Pipeline(stages=preparation(p)).fit(train)
+    prep = Pipeline(stages=preparation(p, fitted=fitted)).fit(train)
     train = prep.transform(train).select(KEY, LABEL, FEATURES)
     valid = prep.transform(valid).select(KEY, FOLD, LABEL, FEATURES)
     kept = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in (train, valid)]
@@ -180,16 +220,16 @@ def predict_folds(
 ) -> tuple[DataFrame | None, dict[str, str], dict[str, PipelineModel]]:
     """Out-of-fold predictions of several models, each row by models that never saw it.
 
-    The preparation is fitted once per fold for all models, and the predictions are written
-    once, so metrics read them and not the models again. A model that fails in any fold is
+    The preparation of all folds is fitted in one pass, and the predictions are written once, so metrics read them and not the models again. A model that fails in any fold is
     left out and reported. Models run side by side on a fold's vectors; folds do when there
     are more threads than models. Returns the long table ``(model, key, fold, label, prediction,
     score, probabilities)``, the errors, and the last fold's fitted pipelines.
     """
     side_by_side = max(1, parallelism // max(len(builders), 1))
+    fitted = fit_by_fold(p)
 
     def one_fold(i: int) -> list:
-        with fold_vectors(p, i) as (prep, train, valid):
+        with fold_vectors(p, i, fitted[i]) as (prep, train, valid):
 
             def run(name: str):
                 try:
@@ -309,13 +349,16 @@ def slicer_by_importance(model: PipelineModel, output: str = "selected") -> Vect
 
 
 def refit(p: Prepared, estimator: Estimator) -> Callable[[DataFrame], DataFrame]:
-    """Fit on all rows; returns a scorer of tables that carry ``key`` and the features."""
+    """Fit on all rows; returns a scorer of tables that carry ``key`` and the features.
+
+    The category encoder is fitted once too, however many tables are scored.
+    """
     train, _ = encode_by_target(p, p.frame, [])
     model = Pipeline(stages=[*preparation(p), estimator]).fit(train)
+    encoder = encode.TargetEncoder(p.by_target, LABEL).fit(p.frame) if p.by_target else None
 
     def score(test: DataFrame) -> DataFrame:
-        _, (ready,) = encode_by_target(p, p.frame, [test])
-        return output_columns(p, model.transform(ready))
+        return output_columns(p, model.transform(encoder.transform(test) if encoder else test))
 
     return score
 

@@ -25,7 +25,6 @@ MAX_CHUNKS = 20_000
 PROBE_CUTS = 256
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 1_000
-SMALL_ROWS = 6_000_000
 EXACT_ROWS = 1 << 18
 SAMPLE_ROWS = 1 << 18
 MOST_SAMPLED = 1 << 24
@@ -289,19 +288,19 @@ def _read_off(df, cols, spans):
 
 def exact_quantiles(
     df: DataFrame, exprs: Mapping[str, Column], probs: Sequence[float],
-    exact_rows: int = EXACT_ROWS, small_rows: int = SMALL_ROWS,
+    exact_rows: int = EXACT_ROWS,
 ) -> dict[str, list[float | None]]:
     """Exact interpolated quantiles of several columns; None for a column without values.
 
     One task merges the counted values of the built-in aggregate, so it serves only up to
-    ``small_rows`` values in all columns together; beyond, the ranks are searched.
+    ``exact_rows`` values in all columns together; beyond, the ranks are searched.
     """
     cols = {n: e.cast("double") for n, e in exprs.items()}
     cols = {n: F.when(~F.isnan(c), c) for n, c in cols.items()}
     if not cols:
         return {}
     counts = df.agg(*[F.count(c).alias(n) for n, c in cols.items()]).first().asDict()
-    if sum(counts.values()) <= min(small_rows, exact_rows):
+    if sum(counts.values()) <= exact_rows:
         row = df.agg(*[F.percentile(c, list(probs)).alias(n) for n, c in cols.items()]).first()
         return {n: list(row[n]) if row[n] is not None else [None] * len(probs) for n in cols}
     ranks = {}
@@ -323,6 +322,93 @@ def exact_quantiles(
     return out
 
 
+def medians_without_fold(
+    df: DataFrame, exprs: Mapping[str, Column], fold: str, counts: Mapping[int, Mapping[str, int]],
+    folds: Sequence[int], exact_rows: int = EXACT_ROWS,
+) -> dict[str, dict[int, float | None]]:
+    """For every column and held-out fold the exact median of the other folds' values.
+
+    ``counts`` has the number of values per fold and column. The medians lie close together, so
+    one bracket of a column, from a sample, is proposed for all of them, and one pass grouped
+    by fold proves it: the counts of a training set are sums over its folds. Columns whose
+    bracket misses or holds too many values are searched fold by fold instead.
+    """
+    cols = {n: e.cast("double") for n, e in exprs.items()}
+    cols = {n: F.when(~F.isnan(c), c) for n, c in cols.items()}
+    out: dict[str, dict[int, float | None]] = {n: dict.fromkeys(folds) for n in cols}
+
+    def others(h: int, of: Callable) -> int:
+        return sum(of(f) for f in counts if f != h)
+
+    sizes = {n: {h: others(h, lambda f: counts[f][n]) for h in folds} for n in cols}
+    whole = {n: sum(c[n] for c in counts.values()) for n in cols}
+    left = [n for n in cols if any(sizes[n].values())]
+    if not left:
+        return out
+    wanted = {n: {h: (math.floor((c - 1) / 2), math.ceil((c - 1) / 2)) for h, c in sizes[n].items() if c} for n in left}
+    most = max(whole[n] for n in left)
+    part = min(1.0, min(max(most / 100, SAMPLE_ROWS), MOST_SAMPLED) / most)
+    shares = {n: Span(n, [whole[n] // 2], whole[n]).shares(part * whole[n]) for n in left}
+    sample = df if part == 1.0 else df.sample(part, seed=0)
+    ends = sample.agg(*[F.percentile_approx(cols[n], shares[n], ACCURACY).alias(n) for n in left]).first().asDict()
+    tried = [n for n in left if ends[n]]
+    inside = {n: F.when(cols[n].between(F.lit(ends[n][0]), F.lit(ends[n][1])), cols[n]) for n in tried}
+    strictly = {n: (cols[n] > F.lit(ends[n][0])) & (cols[n] < F.lit(ends[n][1])) for n in tried}
+    seen = {
+        r[fold]: r for r in df.groupBy(fold).agg(F.lit(0), *[
+            F.count_if(test).alias(f"{tag}{i}") for i, n in enumerate(tried)
+            for tag, test in (("below", cols[n] < F.lit(ends[n][0])), ("in", inside[n].isNotNull()), ("strict", strictly[n]))
+        ]).collect()
+    }
+    below, proven, room = {}, [], exact_rows
+    for i, n in enumerate(tried):
+        below[n] = {h: others(h, lambda f: seen[f][f"below{i}"]) for h in folds}
+        held = {h: others(h, lambda f: seen[f][f"in{i}"]) for h in folds}
+        rows = sum(r[f"strict{i}"] for r in seen.values())
+        if rows <= room and all(below[n][h] <= a and b < below[n][h] + held[h] for h, (a, b) in wanted[n].items()):
+            proven.append(n)
+            room -= rows
+    if proven:
+        found = _read_off_by_fold(df, [inside[n] for n in proven], fold, [
+            [{r - below[n][h] for r in wanted[n][h]} if h in wanted[n] else set() for h in folds] for n in proven
+        ], folds)
+        for slot, n in enumerate(proven):
+            for i, h in enumerate(folds):
+                if h in wanted[n]:
+                    a, b = (found[slot, i, r - below[n][h]] for r in wanted[n][h])
+                    out[n][h] = a if a == b else 0.5 * a + 0.5 * b
+    rest = {f"{i}_{h}": (n, h) for i, n in enumerate(left) if n not in proven for h in folds}
+    searched = exact_quantiles(
+        df, {k: F.when(F.col(fold) != h, cols[n]) for k, (n, h) in rest.items()}, [0.5], exact_rows
+    )
+    for k, (n, h) in rest.items():
+        out[n][h] = searched[k][0]
+    return out
+
+
+def _read_off_by_fold(df, inside, fold, ranks, folds) -> dict[tuple[int, int, int], float]:
+    """(slot, held-out fold, rank) to value, from values counted by fold; the rows were bounded before."""
+    members = F.array(*[F.struct(F.lit(i).alias("slot"), c.alias("v")) for i, c in enumerate(inside)])
+    counted = df.select(F.col(fold).alias("_fold"), F.explode(members).alias("m")).where("m.v is not null").groupBy(
+        "m.slot", "m.v"
+    ).agg(*[F.count_if(F.col("_fold") != h).alias(f"n{i}") for i, h in enumerate(folds)])
+    upto = Window.partitionBy("slot").orderBy("v")
+
+    def reached(i: int) -> Column:
+        at = F.create_map(*[
+            x for slot, per in enumerate(ranks)
+            for x in (F.lit(slot), F.array(*map(F.lit, sorted(per[i]))).cast("array<bigint>"))
+        ])[F.col("slot")]
+        here = F.filter(at, lambda r: (F.col(f"u{i}") - F.col(f"n{i}") <= r) & (r < F.col(f"u{i}")))
+        return F.transform(here, lambda r: F.struct(F.lit(i).alias("held"), r.alias("at")))
+
+    hits = F.concat(*map(reached, range(len(folds))))
+    rows = counted.withColumns({f"u{i}": F.sum(f"n{i}").over(upto) for i in range(len(folds))}).select(
+        "slot", "v", F.explode(hits).alias("x")
+    ).collect()
+    return {(r["slot"], r["x"]["held"], r["x"]["at"]): r["v"] for r in rows}
+
+
 def first_rows(
     df: DataFrame, order: Column, tie: str, n: int, exact_rows: int = EXACT_ROWS,
     small: int = 10_000,

@@ -10,19 +10,19 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.operators.ordered import exact_quantiles
+from foldwise.operators.ordered import exact_quantiles, medians_without_fold
 
 MISSING = "missing"
 
 
-def counted_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long table ``(column, value, n)`` of present values: one shuffle for all columns."""
+def counted_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Long table ``(by..., column, value, n)`` of present values: one shuffle for all columns."""
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
     ])
     return (
-        df.select(F.explode(pairs).alias("x")).select("x.*").where(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        df.select(*by, F.explode(pairs).alias("x")).select(*by, "x.*").where(F.col("value").isNotNull())
+        .groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -117,30 +117,75 @@ def fit_scaling(
 
 
 def fit_scaling_by_fold(
-    df: DataFrame, cols: Sequence[str], fold: str = "fold"
+    df: DataFrame, cols: Sequence[str], fold: str = "fold", impute: str | float = "mean",
+    folds: Sequence[int] | None = None,
 ) -> dict[str, dict[int, Scaling]]:
-    """Standard scaling fitted on the other folds, for every fold at once; gaps get the mean.
+    """Standard scaling fitted on the other folds, for every fold at once; gaps get ``impute``.
 
     One aggregate gives count, mean and variance of each fold. The training statistics of a
-    fold merge those of the others: no second pass, and no subtraction of large sums. As for
-    any mean-imputed column, a filled row adds to the count but nothing to the spread.
+    fold merge those of the others: no second pass, and no subtraction of large sums. A filled
+    row adds the fill's distance from the mean. Medians of all training sets are found together. ``folds`` names folds that may have no rows (default: those found).
     """
+    if not cols:
+        return {}
     rows = df.groupBy(fold).agg(F.count(F.lit(1)).alias("rows"), *[
         f(_clean(c)).alias(f"{tag}{i}")
         for i, c in enumerate(cols)
         for tag, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))
     ]).collect()
+    held = [r[fold] for r in rows] if folds is None else list(folds)
+    medians = {}
+    if impute == "median":
+        counts = {r[fold]: {c: r[f"n{i}"] for i, c in enumerate(cols)} for r in rows}
+        medians = medians_without_fold(df, {c: _clean(c) for c in cols}, fold, counts, held)
     out: dict[str, dict[int, Scaling]] = {c: {} for c in cols}
-    for held in rows:
-        train = [r for r in rows if r[fold] != held[fold]]
+    for h in held:
+        train = [r for r in rows if r[fold] != h]
         total = sum(r["rows"] for r in train)
         for i, c in enumerate(cols):
             parts = [(r[f"n{i}"], r[f"m{i}"], r[f"v{i}"]) for r in train if r[f"n{i}"]]
             n = sum(p[0] for p in parts)
-            mean = math.fsum(p[0] * p[1] for p in parts) / n if n else 0.0
+            present = math.fsum(p[0] * p[1] for p in parts) / n if n else 0.0
+            if impute == "mean":
+                fill = present
+            elif impute == "median":
+                fill = medians[c][h] if n else 0.0
+            else:
+                fill = float(impute)
+            if total > n:
+                parts.append((total - n, fill, 0.0))
+            mean = math.fsum(p[0] * p[1] for p in parts) / total if total else 0.0
             spread = math.fsum(p[0] * (p[2] + (p[1] - mean) ** 2) for p in parts)
             std = math.sqrt(spread / total) if total else 0.0
-            out[c][held[fold]] = Scaling(mean, mean, std or 1.0)
+            out[c][h] = Scaling(fill, mean, std or 1.0)
+    return out
+
+
+def fit_categories_by_fold(
+    df: DataFrame, cols: Sequence[str], folds: Sequence[int], fold: str = "fold"
+) -> dict[int, dict[str, tuple[str | None, list[str]]]]:
+    """For every fold the mode and the sorted values of each column on the other folds.
+
+    The values are counted once by fold and reach the driver, so it is for narrow columns.
+    """
+    out = {h: {c: (None, []) for c in cols} for h in folds}
+    if not cols:
+        return out
+    counted = counted_values(df, cols, [fold])
+    total = counted.groupBy("column", "value").agg(
+        *[F.sum(F.when(F.col(fold) != h, F.col("n")).otherwise(0)).alias(f"n{i}") for i, h in enumerate(folds)]
+    )
+    held = [F.col(f"n{i}") > 0 for i in range(len(folds))]
+    found = total.groupBy("column").agg(
+        *[
+            F.min_by("value", F.when(here, F.struct((-F.col(f"n{i}")).alias("n"), "value"))).alias(f"mode{i}")
+            for i, here in enumerate(held)
+        ],
+        *[F.array_sort(F.collect_list(F.when(here, F.col("value")))).alias(f"values{i}") for i, here in enumerate(held)],
+    ).collect()
+    for row in found:
+        for i, h in enumerate(folds):
+            out[h][row["column"]] = (row[f"mode{i}"], list(row[f"values{i}"]))
     return out
 
 
