@@ -115,7 +115,7 @@ def encoding_by_fold(
     )
     out = counts.withColumns({
         "_rest_n": F.sum(rows).over(of_cat) - rows, "_rest_s": F.sum(total).over(of_cat) - total,
-    }).join(F.broadcast(priors), [*keys, fold])
+    }).join(priors if keys else F.broadcast(priors), [*keys, fold])
     return out.withColumn(
         name, smoothed(F.col("_rest_s"), F.col("_rest_n"), F.col("_prior"), smooth)
     ).drop("_rest_n", "_rest_s", "_prior")
@@ -174,6 +174,7 @@ class TargetEncoderModel(Model):
         for c, table in self.tables.items():
             name = f"{c}{self.suffix}"
             df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("missing")))
-            df = lookup_join(df, table, [c], weight="n").drop("n")
+            # Hot keys are those of the scored rows, which training counts need not show.
+            df = lookup_join(df, table.drop("n"), [c])
             df = df.withColumn(name, F.coalesce(F.col(name), F.lit(self.prior)))
         return df

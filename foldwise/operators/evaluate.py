@@ -273,27 +273,33 @@ def scorer_names(p: Prepared) -> tuple[str, ...]:
     """The metrics that :func:`scores_of` makes for a task."""
     if p.task == "regression":
         return tuple(metrics.REGRESSION_SCORERS)
-    return ("accuracy", "f1", "roc_auc") if len(p.classes) <= 2 else ("accuracy", "f1_macro", "f1_micro", "roc_auc")
+    return metrics.BINARY_SCORERS if len(p.classes) <= 2 else (*metrics.MULTICLASS_SCORERS, "neg_log_loss")
 
 
 def scores_of(p: Prepared, oof: DataFrame, by: Sequence[str] = (FOLD,)) -> DataFrame:
-    """Metrics per fold in long form ``(fold, metric, value)``; higher is better for each."""
+    """Metrics per fold in long form ``(fold, metric, value)``; higher is better for each.
+
+    The log loss is NULL for models whose class scores are no probabilities.
+    """
     by = list(by)
     if p.task == "regression":
         report = metrics.regression_report(oof, by, LABEL, PREDICTION)
         return metrics.to_leaderboard(report, metrics.REGRESSION_SCORERS, by)
+    loss = metrics.to_leaderboard(
+        metrics.log_loss(oof, by, LABEL, PROBABILITIES), ("neg_log_loss",), by
+    )
     if len(p.classes) <= 2:
         report = metrics.binary_report(metrics.binary_counts(oof, by, LABEL, PREDICTION))
         auc = metrics.roc_auc(oof, by, LABEL, SCORE)
         return metrics.to_leaderboard(
             report.select(*by, "accuracy", "f1").join(auc, by), ("accuracy", "f1", "roc_auc"), by
-        )
+        ).unionByName(loss)
     report = metrics.multiclass_report(metrics.confusion(oof, by, LABEL, PREDICTION), by)
     out = metrics.to_leaderboard(report, ("accuracy", "f1_macro", "f1_micro"), by)
     codes = [float(i) for i in range(len(p.classes))]
     scored = oof.where(F.col(PROBABILITIES).isNotNull())
     auc = metrics.roc_auc_one_vs_rest(scored, codes, by, LABEL, PROBABILITIES)
-    return out.unionByName(metrics.to_leaderboard(auc, ("roc_auc",), by))
+    return out.unionByName(metrics.to_leaderboard(auc, ("roc_auc",), by)).unionByName(loss)
 
 
 BOARD_SCHEMA = "model string, fold int, metric string, value double, error string"

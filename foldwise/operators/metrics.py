@@ -60,9 +60,15 @@ def confusion(
 
 
 def multiclass_report(
-    matrix: DataFrame, by: Sequence[str] = (), label: str = "label", pred: str = "prediction"
+    matrix: DataFrame, by: Sequence[str] = (), label: str = "label", pred: str = "prediction",
+    counts: bool = False,
 ) -> DataFrame:
-    """Accuracy, macro and micro F1 from a confusion table, over label and predicted classes."""
+    """Accuracy, macro and micro F1 from a confusion table, over label and predicted classes.
+
+    ``counts`` adds ``class_counts``, the rows of every class that has any, in class order.
+    """
+    present = F.when(F.col("rows") > 0, F.struct("class", "rows"))
+    listed = [F.array_sort(F.collect_list(present)).alias("class_counts")] if counts else []
     hit = F.col(label) == F.col(pred)
     cells = F.when(hit, F.array(F.struct(
         F.col(label).alias("class"), F.col("n").alias("tp"), F.lit(0).cast("bigint").alias("miss"),
@@ -82,7 +88,7 @@ def multiclass_report(
     return classes.groupBy(*by).agg(
         F.sum("rows").alias("n"), F.count_if(F.col("rows") > 0).alias("classes"),
         ratio(F.sum("tp"), F.sum("rows")).alias("accuracy"), F.avg(f1).alias("f1_macro"),
-        ratio_or_zero(2 * F.sum("tp"), 2 * F.sum("tp") + F.sum("miss")).alias("f1_micro"),
+        ratio_or_zero(2 * F.sum("tp"), 2 * F.sum("tp") + F.sum("miss")).alias("f1_micro"), *listed,
     )
 
 
@@ -154,6 +160,21 @@ def roc_auc_one_vs_rest(
     return per_class.groupBy(*by).agg(F.avg("roc_auc").alias("roc_auc"))
 
 
+def log_loss(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", probs: str = "probabilities"
+) -> DataFrame:
+    """``neg_log_loss`` per group: the mean log of the label's own probability in the array ``probs``.
+
+    NULL for a group whose arrays are missing or do not sum to 1; probabilities are clipped as usual.
+    """
+    values = F.col(probs)
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    proper = F.coalesce((F.abs(total - 1) < 1e-6) & F.forall(values, lambda v: v.between(0, 1)), F.lit(False))
+    own = F.get(values, F.col(label).cast("int"))
+    own = F.least(F.greatest(own, F.lit(CLIP)), F.lit(1 - CLIP))
+    return df.groupBy(*by).agg(F.when(F.bool_and(proper), F.avg(F.log(own))).alias("neg_log_loss"))
+
+
 def binary_scores(
     df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
     weight: str | None = None, threshold: float = 0.5, rows: int = CHUNK_ROWS,
@@ -219,9 +240,11 @@ def binary_text(report: DataFrame, model: str = "model") -> DataFrame:
 
 
 def multiclass_text(report: DataFrame, model: str = "model") -> DataFrame:
+    """One text block per model, from a report with class counts."""
+    each = F.transform("class_counts", lambda c: F.concat(c["class"].cast("string"), F.lit(": "), c["rows"].cast("string")))
     text = F.format_string(
-        "--- %s ---\n  Classes: %d\n  Accuracy:    %.4f\n  Macro F1:    %.4f\n  Micro F1:    %.4f\n",
-        F.upper(model), F.col("classes"),
+        "--- %s ---\n  Classes: %d | Counts: {%s}\n  Accuracy:    %.4f\n  Macro F1:    %.4f\n  Micro F1:    %.4f\n",
+        F.upper(model), F.col("classes"), F.array_join(each, ", "),
         *[F.round(c, 4) for c in ("accuracy", "f1_macro", "f1_micro")],
     )
     return report.select(model, text.alias("report"))

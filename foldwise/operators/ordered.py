@@ -24,7 +24,9 @@ CHUNK_ROWS = 1 << 20
 MAX_CHUNKS = 20_000
 PROBE_CUTS = 256
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 1_000
+HOT_ROWS = 16_000_000
 EXACT_ROWS = 1 << 18
 SAMPLE_ROWS = 1 << 18
 MOST_SAMPLED = 1 << 24
@@ -468,15 +470,18 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with unique keys, chosen by the table's measured size.
 
-    Up to ``limit`` rows the table is broadcast. Beyond, the keys that carry over 1/HOT_KEYS
-    of the rows (fewer than HOT_KEYS by arithmetic) are broadcast on their own and the other
-    rows are shuffled, so one hot key never lands in one task; rows without a key need no
-    join. ``weight`` is a column of the table that counts the rows of each key; without it
+    Up to ``limit`` rows and BROADCAST_BYTES the table is broadcast. Beyond, the keys that carry
+    over 1/HOT_KEYS of the rows or over HOT_ROWS of them (one in HOT_ROWS rows at most) are
+    broadcast on their own and the other rows are shuffled, so one hot key never lands in one
+    task; rows without a key need no join. ``weight`` is a column of the table that counts the rows of each key; without it
     they are counted. The table is written once, so measuring it does not compute it twice.
     """
     on = list(on)
     table = materialise(table)
-    if table.limit(limit + 1).count() <= limit:
+    n, size = table.limit(limit + 1).agg(
+        F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct("*"))))
+    ).first()
+    if n <= limit and (size or 0) <= BROADCAST_BYTES:
         return df.join(F.broadcast(table), on, "left")
     if weight is None:
         counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
@@ -484,7 +489,7 @@ def lookup_join(
     else:
         counts = table.select(*on, F.col(weight).alias("_rows"))
         total = table.agg(F.sum(weight)).first()[0]
-    heavy = materialise(counts.where(F.col("_rows") * HOT_KEYS > F.lit(total)).select(*on))
+    heavy = materialise(counts.where(F.col("_rows") > F.lit(min(total / HOT_KEYS, HOT_ROWS))).select(*on))
     keyed = F.lit(True)
     for c in on:
         keyed = keyed & F.col(c).isNotNull()

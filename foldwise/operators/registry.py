@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 FEATURES, LABEL, PREDICTION = "features", "label", "prediction"
 SEED = 42
 RAW = "ridge_scores"
+#: The most features that MLlib's normal equations take.
+NORMAL_FEATURES = 4096
+#: Driver threads that submit the fits of one model's classes.
+CLASS_THREADS = 8
 
 
 def in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
@@ -45,22 +49,37 @@ def _inherited(task: Callable):
     return value
 
 
+def vector_width(df: DataFrame) -> int:
+    """Length of the feature vectors: from the column's metadata, else from the first row."""
+    known = df.schema[FEATURES].metadata.get("ml_attr", {}).get("num_attrs")
+    if known:
+        return known
+    row = df.select(F.size(vector_to_array(FEATURES))).first()
+    return row[0] if row else 0
+
+
 class Ridge(Estimator):
     """Least squares with penalty ``alpha * |w|^2`` on unscaled features.
 
     MLlib divides its penalty by the row count and by the label's standard deviation, so the
-    parameter is derived from both; its normal equations need one pass over the rows.
+    parameter is derived from both; its normal equations need one pass over the rows. They
+    hold a square of the features on the driver, so vectors above ``widest`` are fitted by
+    iterations instead, where MLlib takes the sample's standard deviation.
     """
 
-    def __init__(self, alpha: float = 1.0, label: str = LABEL, prediction: str = PREDICTION):
+    def __init__(
+        self, alpha: float = 1.0, label: str = LABEL, prediction: str = PREDICTION, widest: int = NORMAL_FEATURES
+    ):
         super().__init__()
-        self.alpha, self.label, self.prediction = float(alpha), label, prediction
+        self.alpha, self.label, self.prediction, self.widest = float(alpha), label, prediction, widest
 
     def _fit(self, df: DataFrame):
-        n, spread = df.agg(F.count(self.label), F.stddev_pop(self.label)).first()
+        narrow = vector_width(df) <= self.widest
+        spread = F.stddev_pop(self.label) if narrow else F.stddev_samp(self.label)
+        n, spread = df.agg(F.count(self.label), spread).first()
         return R.LinearRegression(
             featuresCol=FEATURES, labelCol=self.label, predictionCol=self.prediction,
-            solver="normal", elasticNetParam=0.0, standardization=False,
+            solver="normal" if narrow else "l-bfgs", elasticNetParam=0.0, standardization=False,
             regParam=self.alpha * (spread or 0.0) / max(n, 1),
         ).fit(df)
 
@@ -78,7 +97,7 @@ class RidgeClassifier(Estimator):
             return Ridge(self.alpha, "_sign", f"_score_{i}").fit(signed)
 
         classes = [1] if self.classes <= 2 else range(self.classes)
-        models = in_parallel([lambda i=i: fit(i) for i in classes], len(classes))
+        models = in_parallel([lambda i=i: fit(i) for i in classes], CLASS_THREADS)
         return RidgeClassifierModel(models, self.classes)
 
 
@@ -124,7 +143,7 @@ def _cols(**params):
 def _one_vs_rest(base, classes: int):
     return C.OneVsRest(
         classifier=base, featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
-        parallelism=min(classes, 8),
+        parallelism=min(classes, CLASS_THREADS),
     )
 
 
@@ -165,9 +184,8 @@ class Perceptron(Estimator):
         self.classes, self.hidden, self.extra = classes, hidden, params
 
     def _fit(self, df: DataFrame):
-        width = df.select(F.size(vector_to_array(FEATURES))).first()[0]
         return C.MultilayerPerceptronClassifier(
-            **_cols(layers=[width, self.hidden, max(self.classes, 2)], seed=SEED, **self.extra)
+            **_cols(layers=[vector_width(df), self.hidden, max(self.classes, 2)], seed=SEED, **self.extra)
         ).fit(df)
 
 

@@ -9,8 +9,8 @@ from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, CountVectorizer, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,22 +46,25 @@ def principal_components(df: DataFrame, k: int):
 
 def singular_values(df: DataFrame, k: int) -> list[float]:
     """Leading singular values of the uncentred rows."""
-    rows = df.select(VECTOR).rdd.map(lambda r: Vectors.fromML(r[0]))
-    return RowMatrix(rows).computeSVD(k).s.toArray().tolist()
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(VECTOR), VECTOR)).computeSVD(k).s.toArray().tolist()
 
 
 def topics(
     df: DataFrame, text: str, k: int, vocabulary: int = 2000, iterations: int = 10,
-    stop_words: Sequence[str] = (),
+    stop_words: Sequence[str] = (), min_docs: float = 1.0,
 ):
-    """Topic model of a text column: ``(pipeline model, frame with topicDistribution)``."""
+    """Topic model of a text column: ``(pipeline model, frame with topicDistribution)``.
+
+    The ``vocabulary`` most frequent terms that ``min_docs`` documents or more hold take part:
+    the topics are a matrix on the driver, whose size this bounds.
+    """
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\W+", minTokenLength=2),
         StopWordsRemover(
             inputCol="_tokens", outputCol="_words",
             stopWords=list(stop_words) or StopWordsRemover.loadDefaultStopWords("english"),
         ),
-        CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary, minDF=2.0),
+        CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary, minDF=min_docs),
         LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online"),
     ]
     model = Pipeline(stages=stages).fit(df)

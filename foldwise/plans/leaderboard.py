@@ -238,7 +238,7 @@ SELECT fold, n, classes, round(accuracy, 6) AS accuracy, round(f1_macro, 6) AS f
 def text_report_multiclass(spark: SparkSession, sf: str) -> DataFrame:
     rows = class_predictions(spark, sf).withColumn("model", F.lit("hour_rate"))
     matrix = metrics.confusion(rows, ["model"])
-    return metrics.multiclass_text(metrics.multiclass_report(matrix, ["model"]))
+    return metrics.multiclass_text(metrics.multiclass_report(matrix, ["model"], counts=True))
 
 
 QUERIES["text_report_multiclass"] = text_report_multiclass
@@ -250,9 +250,10 @@ both_ AS (
 per_class AS (
   SELECT model, class, sum(hit) AS tp, sum(real) AS real, sum(claimed) AS claimed
   FROM both_ GROUP BY ALL)
-SELECT model, printf('--- %s ---' || chr(10) || '  Classes: %d' || chr(10)
+SELECT model, printf('--- %s ---' || chr(10) || '  Classes: %d | Counts: {{%s}}' || chr(10)
   || '  Accuracy:    %.4f' || chr(10) || '  Macro F1:    %.4f' || chr(10)
   || '  Micro F1:    %.4f' || chr(10), upper(model), count(*) FILTER (real > 0),
+  string_agg(class || ': ' || real, ', ' ORDER BY class) FILTER (real > 0),
   round(sum(tp)::DOUBLE / sum(real), 4), round(avg(2.0::DOUBLE * tp / (real + claimed)), 4),
   round(2.0::DOUBLE * sum(tp) / (sum(real) + sum(claimed)), 4)) AS report
 FROM per_class GROUP BY model"""

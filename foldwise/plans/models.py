@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from dataclasses import replace
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from foldwise.plans.fixtures import LINE_KEY, line_key, lineitem, sql_fold
 from foldwise.plans.preparing import ALPHA, ORACLE as PREPARING
 from foldwise.sources import sinks
 from foldwise.sources.tables import table
-from foldwise.session import scratch_path
+from foldwise.session import materialise, scratch_path
 
 QUERIES, ORACLE = {}, {}
 
@@ -159,38 +161,72 @@ def forest_importances(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["forest_importances"] = forest_importances
 
 
+def fold_scores(spark: SparkSession, p: evaluate.Prepared, fit, name: str) -> DataFrame:
+    """Metrics of every fold with the number that its ``fit(train, valid)`` returns beside the scored rows."""
+    fitted, found, out = evaluate.fit_by_fold(p), [], None
+    for i in range(p.folds):
+        with evaluate.fold_vectors(p, i, fitted[i]) as (_, train, valid):
+            n, scored = fit(train, valid)
+            part = materialise(evaluate.output_columns(p, scored, FOLD, LABEL))
+        found.append((i, n))
+        out = part if out is None else out.unionByName(part)
+    p.unpersist()
+    numbers = spark.createDataFrame(found, f"fold int, {name} int")
+    return _rounded(evaluate.scores_of(p, out).join(F.broadcast(numbers), FOLD)).select(FOLD, "metric", "value", name)
+
+
 def select_by_importance(spark: SparkSession, sf: str) -> DataFrame:
-    """A linear model on the features a forest found important, scored out of the fold."""
+    """A linear model on the features a forest found important on the other folds, for every fold."""
     p = lines(spark, sf)
-    forest = REGISTRY["random_forest"].build("classification", 2, numTrees=10, maxDepth=5)
-    model, _ = evaluate.fit_fold(p, forest, 0)
-    slicer = evaluate.slicer_by_importance(model)
-    estimator = REGISTRY["logistic"].build("classification", 2, featuresCol="selected", maxIter=10)
-    stages = [*evaluate.preparation(p), slicer]
-    _, scored = evaluate.fit_fold(p, estimator, 0, stages)
-    scores = evaluate.scores_of(p, evaluate.output_columns(p, scored, FOLD, LABEL))
-    rows = scores.withColumn("n_features", F.lit(len(slicer.getIndices()))).collect()
-    p.unpersist()
-    return _rounded(spark.createDataFrame(rows, "fold int, metric string, value double, n_features int"))
+
+    def fit(train: DataFrame, valid: DataFrame) -> tuple[int, DataFrame]:
+        forest = REGISTRY["random_forest"].build("classification", 2, numTrees=10, maxDepth=5).fit(train)
+        slicer = evaluate.slicer_by_importance(PipelineModel([forest]))
+        linear = REGISTRY["logistic"].build("classification", 2, featuresCol="selected", maxIter=10)
+        model = Pipeline(stages=[slicer, linear]).fit(train)
+        return len(slicer.getIndices()), model.transform(valid)
+
+    return fold_scores(spark, p, fit, "n_features")
 
 
 QUERIES["select_by_importance"] = select_by_importance
 
 
-def multiclass_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """Forest probabilities of the event classes for the last fold, one column per class."""
+def event_probabilities(spark: SparkSession, sf: str) -> tuple[DataFrame, list]:
+    """Out-of-fold forest probabilities of all events, one column per class, and the classes."""
     p = event_classes(spark, sf)
-    _, scored = evaluate.fit_fold(
-        p, REGISTRY["random_forest"].build("classification", 5, numTrees=10, maxDepth=5), 0
+    rows, _ = evaluate.out_of_fold(
+        p, lambda: REGISTRY["random_forest"].build("classification", 5, numTrees=10, maxDepth=5), THREADS
     )
-    rows = evaluate.output_columns(p, scored)
-    raw = output.raw_predictions(rows, KEY, "event_type", None, "probabilities", len(p.classes))
-    return output.format_predictions(raw, "multiclass_class", ["event_id", "event_type"], "event_type", p.classes)
+    p.unpersist()
+    return output.raw_predictions(rows, KEY, "event_type", None, "probabilities", len(p.classes)), p.classes
+
+
+def multiclass_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The likeliest class of every event, from probabilities out of its fold."""
+    raw, classes = event_probabilities(spark, sf)
+    return output.format_predictions(raw, "multiclass_class", ["event_id", "event_type"], "event_type", classes)
 
 
 QUERIES["multiclass_scores"] = multiclass_scores
 
 
+def multiclass_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event once, with a probability per class; they sum to 1."""
+    raw, classes = event_probabilities(spark, sf)
+    key, *columns = raw.columns
+    whole = sum((F.col(f"`{c}`") for c in columns), F.lit(0.0))
+    return raw.select(
+        F.col(key).alias("event_id"), F.lit(len(columns)).alias("n_classes"),
+        (F.abs(whole - 1) < 1e-6).alias("sums_to_1"),
+    )
+
+
+QUERIES["multiclass_coverage"] = multiclass_coverage
+ORACLE["multiclass_coverage"] = """SELECT event_id, (SELECT count(DISTINCT event_type) FROM events)::INTEGER AS n_classes,
+  TRUE AS sums_to_1 FROM events WHERE event_type IS NOT NULL"""
+
+
 def refit_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """Fit on early orders, score late ones with a missing and an extra column."""
     orders = table(spark, sf, "orders").withColumn("high", (F.col("o_totalprice") > 250_000).cast("int"))
@@ -209,8 +245,18 @@ def refit_and_score(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["refit_and_score"] = refit_and_score
 
 
+def refit_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Every late order is scored once, as 0 or 1."""
+    return refit_and_score(spark, sf).select("o_orderkey", F.col("high").cast("int").isin(0, 1).alias("is_class"))
+
+
+QUERIES["refit_coverage"] = refit_coverage
+ORACLE["refit_coverage"] = """SELECT o_orderkey, TRUE AS is_class FROM orders WHERE o_orderdate >= DATE '2000-01-01'"""
+
+
 def tune_random(spark: SparkSession, sf: str) -> DataFrame:
-    """Seeded search of two families and an unknown one; best parameters are saved and refit."""
+    """Seeded search of two families and an unknown one; the best parameters are saved and read
+    back, and the tree that they make on one half scores the other."""
     p = lines(spark, sf, 2)
     space = {"maxDepth": ("int", 2, 4), "minInstancesPerNode": ("int", 1, 50)}
     out = tuning.search(p, "tree", 3, space=space).withColumn("family", F.lit("tree"))
@@ -224,43 +270,68 @@ def tune_random(spark: SparkSession, sf: str) -> DataFrame:
     best = tuning.best_trial(tree).first()
     path = scratch_path(spark, "params")
     sinks.write_params(spark, path, "tree", best["score"], "roc_auc", chosen)
-    evaluate.refit(p, REGISTRY["tree"].build("classification", 2, **chosen))
+    early, late = folds.split_fold(p.frame, 1)
+    refitted = evaluate.refit(replace(p, frame=early), REGISTRY["tree"].build("classification", 2, **chosen))
+    n_scored = refitted(late.drop(LABEL, FOLD)).where(F.col("score").between(0, 1)).count()
     p.unpersist()
     saved = sinks.read_params(spark, path).select(
-        F.col("model").alias("family"), F.col("best_score").alias("saved_score")
+        F.col("model").alias("family"), F.col("best_score").alias("saved_score"),
+        F.lit(n_scored).alias("n_scored"),
     )
     return out.join(F.broadcast(saved), "family", "left").select(
         "family", "trial", "status", F.round("score", 6).alias("score"),
-        F.to_json("params").alias("params"), F.round("saved_score", 6).alias("saved_score"),
+        F.to_json("params").alias("params"), F.round("saved_score", 6).alias("saved_score"), "n_scored",
     )
 
 
 QUERIES["tune_random"] = tune_random
 
 
+def tune_draws(spark: SparkSession, sf: str) -> DataFrame:
+    """What the search tried, and how many lines its refitted best model scored."""
+    tried = tune_random(spark, sf)
+    drawn = F.from_json("params", "map<string,double>")
+    return tried.select(
+        "family", "trial", "status", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("in_range"),
+        F.coalesce(F.col("n_scored").cast("bigint"), F.lit(0)).cast("bigint").alias("n_scored"),
+        *[F.round(drawn[n], 6).alias(n) for n in ("maxDepth", "minInstancesPerNode", "regParam", "maxIter")],
+    )
+
+
+def _draw_sql(name: str) -> str:
+    return f"(('0x' || substr(md5('42|' || t || '|{name}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+
+
+QUERIES["tune_draws"] = tune_draws
+ORACLE["tune_draws"] = f"""WITH trials AS (SELECT unnest(range(3))::INTEGER AS t),
+held AS (SELECT count(*) AS n FROM lineitem WHERE l_returnflag IS NOT NULL AND {sql_fold(LINE_KEY, k=2)} = 1)
+SELECT 'tree' AS family, t AS trial, 'ok' AS status, TRUE AS in_range, (SELECT n FROM held) AS n_scored,
+  2 + floor({_draw_sql('maxDepth')} * 3) AS "maxDepth", 1 + floor({_draw_sql('minInstancesPerNode')} * 50) AS "minInstancesPerNode",
+  NULL::DOUBLE AS "regParam", NULL::DOUBLE AS "maxIter" FROM trials
+UNION ALL SELECT 'logistic', t, 'ok', TRUE, 0, NULL, NULL,
+  round(exp(ln(1e-3::DOUBLE) + {_draw_sql('regParam')} * ln(1e3::DOUBLE)), 6), 3 + floor({_draw_sql('maxIter')} * 4) FROM trials
+UNION ALL SELECT 'unknown', 0, 'pruned', FALSE, 0, NULL, NULL, NULL, NULL"""
+
+
 def early_stopping(spark: SparkSession, sf: str) -> DataFrame:
-    """Boosting that stops when a held-out share no longer improves."""
+    """Boosting that stops when a held-out share of the training rows no longer improves, for every fold."""
     p = lines(spark, sf, 3)
-    stages = Pipeline(stages=evaluate.preparation(p)).fit(p.frame.where(F.col(FOLD) != 0))
-    ready = stages.transform(p.frame).withColumn(
-        "held", unit_hash(F.col(KEY), "held") < 0.2
-    )
-    train = ready.where(F.col(FOLD) != 0)
-    model = GBTClassifier(
-        maxIter=10, maxDepth=3, seed=42, validationIndicatorCol="held", validationTol=0.01
-    ).fit(train)
-    scored = model.transform(ready.where(F.col(FOLD) == 0))
-    scores = evaluate.scores_of(p, evaluate.output_columns(p, scored, FOLD, LABEL))
-    rows = scores.withColumn("rounds", F.lit(model.getNumTrees)).collect()
-    p.unpersist()
-    return _rounded(spark.createDataFrame(rows, "fold int, metric string, value double, rounds int"))
+
+    def fit(train: DataFrame, valid: DataFrame) -> tuple[int, DataFrame]:
+        marked = train.withColumn("held", unit_hash(F.col(KEY), "held") < 0.2)
+        model = GBTClassifier(
+            maxIter=10, maxDepth=3, seed=42, validationIndicatorCol="held", validationTol=0.01
+        ).fit(marked)
+        return model.getNumTrees, model.transform(valid)
+
+    return fold_scores(spark, p, fit, "rounds")
 
 
 QUERIES["early_stopping"] = early_stopping
 
 
 def stacked(spark: SparkSession, sf: str) -> DataFrame:
-    """Logistic stack, soft vote and calibration of two models' out-of-fold scores."""
+    """Logistic stack, soft vote and calibration of two models' out-of-fold scores, all cross-fitted."""
     p = lines(spark, sf)
     oof, _, _ = evaluate.predict_folds(p, {
         "tree": lambda: REGISTRY["tree"].build("classification", 2, maxDepth=4),
@@ -268,12 +339,10 @@ def stacked(spark: SparkSession, sf: str) -> DataFrame:
     }, THREADS)
     long = oof.select(KEY, FOLD, LABEL, "score", "model")
     p.unpersist()
-    slope, intercept = ensemble.platt(long.where(F.col("model") == "ridge"), "score")
-    calibrated = long.withColumn("score", F.when(
-        F.col("model") == "ridge", ensemble.apply_platt(F.col("score"), slope, intercept)
-    ).otherwise(F.col("score")))
-    model, wide = ensemble.stack(calibrated, KEY, ["tree", "ridge"], LABEL, FOLD)
-    final = ensemble.stacked_score(model, wide).withColumn("vote", ensemble.vote(["tree", "ridge"]))
+    held = range(p.folds)
+    wide = materialise(ensemble.pivot_models(long, KEY, ["tree", "ridge"], LABEL, FOLD))
+    wide = materialise(ensemble.platt_by_fold(wide, "ridge", held))
+    final = ensemble.stack_by_fold(wide, ["tree", "ridge"], held).withColumn("vote", ensemble.vote(["tree", "ridge"]))
     each = F.array(*[
         F.struct(F.lit(n).alias("model"), F.col(c).alias("s"))
         for n, c in (("tree", "tree"), ("ridge_calibrated", "ridge"), ("vote", "vote"), ("stack", "score"))
@@ -287,20 +356,26 @@ QUERIES["stacked"] = stacked
 
 
 def isotonic(spark: SparkSession, sf: str) -> DataFrame:
-    """Isotonic calibration of an out-of-fold ridge score: calibrated means per fold."""
+    """Isotonic calibration of an out-of-fold ridge score by the other folds.
+
+    Per fold its rows and base rate, whether the mean calibrated score is within the rows'
+    chance error of that rate, and whether all calibrated scores are probabilities.
+    """
     p = lines(spark, sf)
     oof, _ = evaluate.out_of_fold(p, lambda: REGISTRY["ridge"].build("classification", 2), THREADS)
     scored = oof.select(KEY, FOLD, LABEL, "score")
     p.unpersist()
-    model = ensemble.isotonic(scored, "score")
-    ready = VectorAssembler(inputCols=["score"], outputCol="_raw_vector").transform(scored)
-    return model.transform(ready).groupBy(FOLD).agg(
+    return ensemble.isotonic_by_fold(scored, "score", range(p.folds)).groupBy(FOLD).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg(LABEL), 6).alias("rate"),
-        F.round(F.avg("calibrated"), 6).alias("calibrated"),
+        (F.abs(F.avg("calibrated") - F.avg(LABEL)) < 3 / F.sqrt(F.count(F.lit(1)))).alias("close"),
+        F.bool_and(F.col("calibrated").between(0, 1)).alias("in_range"),
     )
 
 
 QUERIES["isotonic"] = isotonic
+ORACLE["isotonic"] = f"""SELECT {sql_fold(LINE_KEY, k=3)} AS fold, count(*) AS n,
+  round(avg((l_returnflag = 'R')::INTEGER), 6) AS rate, TRUE AS close, TRUE AS in_range
+FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 1"""
 
 
 def log_target(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,6 +425,17 @@ def clusters(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES["clusters"] = clusters
 
 
+def cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each clustering places, and whether its silhouette is one."""
+    return clusters(spark, sf).groupBy("kind").agg(
+        F.sum("n").alias("n"), F.bool_and(F.col("silhouette").between(-1, 1)).alias("in_range")
+    )
+
+
+QUERIES["cluster_sizes"] = cluster_sizes
+ORACLE["cluster_sizes"] = """SELECT unnest(['kmeans', 'bisecting', 'mixture']) AS kind, (SELECT count(*) FROM embeddings) AS n, TRUE AS in_range"""
+
+
 def projections(spark: SparkSession, sf: str) -> DataFrame:
     """Explained variance of the leading components and leading singular values."""
     df = unsupervised.as_vector(table(spark, sf, "embeddings"), "embedding").persist()

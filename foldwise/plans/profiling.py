@@ -382,8 +382,7 @@ def profile_report(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").withColumn(
         "c_nationkey", F.when(F.pmod(F.col("c_custkey"), F.lit(8)) != 0, F.col("c_nationkey"))
     )
-    report = profile.profile_report(customers, "c_mktsegment", F.col("c_custkey"))
-    return report.where(F.col("section") != "sample")
+    return profile.profile_report(customers, "c_mktsegment", F.col("c_custkey"))
 
 
 QUERIES["profile_report"] = profile_report
@@ -413,4 +412,8 @@ UNION ALL SELECT 'correlation', side || ' ' || rank || ' ' || "column", printf('
 UNION ALL SELECT 'mutual_info', 'c_name', printf('%.4f', round(mi, 4)) FROM mi
 UNION ALL SELECT 'samples', 'c_name ' || rank, value FROM names WHERE rank <= 5
 UNION ALL SELECT 'missing', 'c_nationkey',
-  printf('%.2f', round(count(*) FILTER (c_nationkey IS NULL) * 100.0::DOUBLE / count(*), 2)) FROM t"""
+  printf('%.2f', round(count(*) FILTER (c_nationkey IS NULL) * 100.0::DOUBLE / count(*), 2)) FROM t
+UNION ALL SELECT * FROM (SELECT 'sample', c_custkey::VARCHAR, '{{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"'
+  || CASE WHEN c_nationkey IS NULL THEN '' ELSE ',"c_nationkey":' || c_nationkey END
+  || ',"c_acctbal":' || c_acctbal || ',"c_mktsegment":"' || c_mktsegment || '"}}'
+  FROM t ORDER BY md5('42|' || c_custkey), c_custkey LIMIT 5)"""
