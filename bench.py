@@ -19,6 +19,8 @@ HEADLINE = [
     "target_encode_oof", "binning", "select_f_classif", "ridge_by_fold",
     "format_01", "format_multi_class", "run_improved", "run_memory", "run_mode", "run_policy",
     "extract_code", "truncate_head_tail", "json_metric", "oof_coverage", "baseline_leaderboard",
+    "regression_leaderboard", "isotonic", "stacked", "early_stopping", "log_target", "refit_and_score",
+    "clusters", "projections", "topic_terms", "run_policy_stream",
 ]
 
 

@@ -51,5 +51,5 @@ def test_unknown_metric_is_rejected_before_any_fit():
 
     from foldwise.operators import tuning
 
-    with pytest.raises(ValueError, match="neg_log_loss"):
-        tuning.search(SimpleNamespace(task="classification", classes=[0, 1], frame=None), "lgb", metric="neg_log_loss")
+    with pytest.raises(ValueError, match="no_such_metric"):
+        tuning.search(SimpleNamespace(task="classification", classes=[0, 1], frame=None), "lgb", metric="no_such_metric")

@@ -64,7 +64,7 @@ def test_failing_model_is_reported(prepared, monkeypatch):
     monkeypatch.setitem(REGISTRY, "broken", Candidate(broken, None))
     board = evaluate.leaderboard(prepared, ["tree", "broken"], parallelism=2).collect()
     assert {r["error"] for r in board if r["model"] == "broken"} == {"cannot build"}
-    assert len([r for r in board if r["model"] == "tree"]) == 9
+    assert len([r for r in board if r["model"] == "tree"]) == 3 * len(metrics.BINARY_SCORERS)
     with pytest.raises(ValueError, match="all models failed"):
         evaluate.leaderboard(prepared, ["broken"])
 
@@ -112,6 +112,8 @@ def test_search_is_seeded_pruned_and_budgeted(prepared):
         {k: float(v) for k, v in tuning.trial_params(space, t).items()} for t in range(2)]
     best = tuning.best_params(a, space)
     assert set(best) == set(space) and all(isinstance(v, int) for v in best.values())
+    loss = tuning.search(prepared, "tree", 1, "neg_log_loss", space=space).first()
+    assert loss["status"] == "ok" and loss["score"] < 0
     none = tuning.search(prepared, "unknown", 2)
     assert {r["status"] for r in none.collect()} == {"pruned"} and tuning.best_params(none, space) is None
     late = tuning.search(prepared, "tree", 2, space=space, budget=0)
