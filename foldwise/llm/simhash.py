@@ -17,22 +17,28 @@ BITS = 64
 BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, words: int, seed: int) -> int:
-    """A text's fingerprint as a signed 64-bit number; no words (or a NULL text): zero."""
+def shingles(text: str | None, words: int, seed: int) -> list[int]:
+    """XXH64 of every run of ``words`` words of a text; a shorter text is one run, one without words has none."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return []
     hash_ = xxhash.xxh64_intdigest
     if len(found) <= words:
-        hashes = [hash_(b" ".join(found), seed)]
-    else:
-        whole = b" ".join(found)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
-        ends = np.cumsum(lengths) - 1
-        starts = ends - lengths + 1
-        hashes = [
-            hash_(whole[a:b], seed) for a, b in zip(starts[: len(found) - words + 1].tolist(), ends[words - 1:].tolist())
-        ]
+        return [hash_(b" ".join(found), seed)]
+    whole = b" ".join(found)
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
+    ends = np.cumsum(lengths) - 1
+    starts = ends - lengths + 1
+    return [
+        hash_(whole[a:b], seed) for a, b in zip(starts[: len(found) - words + 1].tolist(), ends[words - 1:].tolist())
+    ]
+
+
+def fingerprint(text: str | None, words: int, seed: int) -> int:
+    """A text's fingerprint as a signed 64-bit number; no words (or a NULL text): zero."""
+    hashes = shingles(text, words, seed)
+    if not hashes:
+        return 0
     values = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(values), BLOCK):
