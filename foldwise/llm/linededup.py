@@ -10,6 +10,8 @@ from foldwise.llm.common import bytes_within, materialise, table
 RATIO = 0.02
 #: ... if at least so many pages hold it.
 MIN_PAGES = 5
+#: A line of more words than this does not recur by chance: one that two texts of a host hold is a repeated passage.
+LONG_WORDS = 50
 #: Bytes of boilerplate keys that may be broadcast; above it they are joined by host.
 BROADCAST_BYTES = 16 << 20
 
@@ -77,6 +79,38 @@ def drop_boilerplate(
     }).drop("__host", "__keys", "__lines", "__kept")
 
 
+def drop_passages(docs: DataFrame, host: str = "source", text: str = "text", words: int = LONG_WORDS) -> DataFrame:
+    """``docs`` whose lines of more than ``words`` words stay in one text of each host that holds them.
+
+    Of the distinct texts of a host with such a line that of the least digest keeps it, so no
+    passage is lost and exact copies stay alike. Lines are compared without outer blanks; all else
+    stays as it is and in order. A NULL host is a host of its own; a NULL text stays NULL.
+    """
+    long = f"size(split(trim(BOTH ' \t\r' FROM l), '\\\\s+')) > {words}"
+    keys = f"array_distinct(transform(filter({lines_of('__text')}, l -> {long}), l -> {key_of('l')}))"
+    held = materialise(
+        docs.select(F.col(host).alias("__host"), F.col(text).alias("__text"))
+        .select("__host", F.expr("unhex(md5(__text))").alias("__page"), F.explode(F.expr(keys)).alias("key")).distinct()
+    )
+    known = (
+        held.groupBy(F.col("__host").alias("h"), F.col("key").alias("k"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("__page").alias("first")).where("n > 1")
+    )
+    found = materialise(
+        held.join(known, held["__host"].eqNullSafe(known["h"]) & (held["key"] == known["k"])).where("__page <> first")
+        .groupBy("__host", "__page").agg(F.collect_list("key").alias("__keys"))
+    )
+    if bytes_within(found, BROADCAST_BYTES):
+        found = F.broadcast(found)
+    joined = docs.join(
+        found, docs[host].eqNullSafe(found["__host"]) & (F.expr(f"unhex(md5(`{text}`))") == found["__page"]), "left"
+    )
+    rest = f"filter({lines_of(f'`{text}`')}, l -> NOT array_contains(__keys, {key_of('l')}))"
+    return joined.withColumn(
+        text, F.expr(f"CASE WHEN __keys IS NULL THEN `{text}` ELSE array_join({rest}, '\n') END")
+    ).select(*docs.columns)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines: the digest of what is left."""
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
