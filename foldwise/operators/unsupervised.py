@@ -50,22 +50,29 @@ def singular_values(df: DataFrame, k: int) -> list[float]:
 
 
 def topics(
-    df: DataFrame, text: str, k: int, vocabulary: int = 2000, iterations: int = 10,
+    df: DataFrame, text: str, k: int, vocabulary: int | None = 2000, iterations: int = 10,
     stop_words: Sequence[str] = (), min_docs: float = 1.0,
 ):
     """Topic model of a text column: ``(pipeline model, frame with topicDistribution)``.
 
-    The ``vocabulary`` most frequent terms that ``min_docs`` documents or more hold take part:
-    the topics are a matrix on the driver, whose size this bounds.
+    The ``vocabulary`` most frequent terms that ``min_docs`` documents or more hold take part, None:
+    all of them, by a count of terms. The topics are a matrix of that size on the driver. Every
+    iteration passes over all documents.
     """
-    stages = [
+    words = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\W+", minTokenLength=2),
         StopWordsRemover(
             inputCol="_tokens", outputCol="_words",
             stopWords=list(stop_words) or StopWordsRemover.loadDefaultStopWords("english"),
         ),
+    ]
+    if vocabulary is None:
+        terms = Pipeline(stages=words).fit(df).transform(df).select(F.explode("_words").alias("term"))
+        vocabulary = max(1, terms.distinct().count())
+    stages = [
+        *words,
         CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary, minDF=min_docs),
-        LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online"),
+        LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online", subsamplingRate=1.0),
     ]
     model = Pipeline(stages=stages).fit(df)
     return model, model.transform(df)
@@ -74,9 +81,12 @@ def topics(
 def describe_topics(model, words: int = 10) -> DataFrame:
     """``(topic, rank, term, weight)`` of the heaviest terms."""
     counts, lda = model.stages[-2], model.stages[-1]
-    vocabulary = F.array(*[F.lit(w) for w in counts.vocabulary])
+    found = lda.describeTopics(words)
+    used = sorted({i for r in found.collect() for i in r.termIndices})
+    terms = counts.vocabulary
+    names = F.create_map(*[F.lit(x) for i in used for x in (i, terms[i])])
     pairs = F.posexplode(F.arrays_zip("termIndices", "termWeights"))
-    return lda.describeTopics(words).select("topic", pairs.alias("rank", "x")).select(
-        "topic", "rank", F.get(vocabulary, F.col("x.termIndices")).alias("term"),
+    return found.select("topic", pairs.alias("rank", "x")).select(
+        "topic", "rank", F.element_at(names, F.col("x.termIndices")).alias("term"),
         F.col("x.termWeights").alias("weight"),
     )

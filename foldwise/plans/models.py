@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StopWordsRemover, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -451,7 +451,8 @@ QUERIES["projections"] = projections
 
 def topic_terms(spark: SparkSession, sf: str) -> DataFrame:
     """Heaviest terms of four topics of the documents."""
-    model, _ = unsupervised.topics(table(spark, sf, "documents").select("text"), "text", 4, 1000, 3)
+    stop = [w for x in ("english", "french", "german", "spanish") for w in StopWordsRemover.loadDefaultStopWords(x)]
+    model, _ = unsupervised.topics(table(spark, sf, "documents").select("text"), "text", 4, None, 3, stop)
     return unsupervised.describe_topics(model, 8).withColumn("weight", F.round("weight", 6))
 
 
