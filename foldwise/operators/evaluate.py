@@ -142,10 +142,13 @@ def fit_by_fold(p: Prepared) -> list[list[Model]]:
             found = categories[i]
             stages += [
                 CategoryImputerModel({c: MISSING if found[c][0] is None else found[c][0] for c in p.one_hot}),
-                StringIndexerModel.from_arrays_of_labels(
-                    [found[c][1] or [MISSING] for c in p.one_hot], p.one_hot,
-                    [f"{c}_index" for c in p.one_hot], handleInvalid="keep",
-                ),
+                # One indexer a column: a joint one pads shorter label lists with nulls.
+                *[
+                    StringIndexerModel.from_labels(
+                        found[c][1] or [MISSING], c, f"{c}_index", handleInvalid="keep"
+                    )
+                    for c in p.one_hot
+                ],
             ]
         out.append(stages)
     return out
@@ -226,9 +229,18 @@ def predict_folds(
     score, probabilities)``, the errors, and the last fold's fitted pipelines.
     """
     side_by_side = max(1, parallelism // max(len(builders), 1))
-    fitted = fit_by_fold(p)
+    try:
+        fitted = fit_by_fold(p)
+    except Exception as e:
+        return None, {name: str(e) or repr(e) for name in builders}, {}
 
     def one_fold(i: int) -> list:
+        try:
+            return vectors_of(i)
+        except Exception as e:  # the preparation failed, for every model
+            return [(name, None, str(e) or repr(e)) for name in builders]
+
+    def vectors_of(i: int) -> list:
         with fold_vectors(p, i, fitted[i]) as (prep, train, valid):
 
             def run(name: str):
@@ -315,13 +327,13 @@ def leaderboard(
         for n in names
     }
     oof, errors, _ = predict_folds(p, builders, parallelism)
+    failed = p.frame.sparkSession.createDataFrame([(n, None, None, None, e) for n, e in errors.items()], BOARD_SCHEMA)
     if oof is None:
-        raise ValueError(f"all models failed: {errors}")
+        return failed
     board = scores_of(p, oof, ("model", FOLD)).select(
         "model", FOLD, "metric", "value", F.lit(None).cast("string").alias("error")
     )
-    failed = [(n, None, None, None, e) for n, e in errors.items()]
-    return board.unionByName(p.frame.sparkSession.createDataFrame(failed, BOARD_SCHEMA))
+    return board.unionByName(failed)
 
 
 def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:

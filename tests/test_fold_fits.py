@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from foldwise.operators import folds, preprocess
+from foldwise.operators import evaluate, folds, preprocess
 
 FOLDS = range(4)
 
@@ -52,3 +53,26 @@ def test_categories_of_all_folds_equal_fits_fold_by_fold(spark, by):
         words = sorted(r[0] for r in train.select("word").distinct().collect() if r[0])
         assert found[i]["word"] == (preprocess.fit_modes(train, ["word"])["word"], words)
         assert found[i]["empty"] == (None, [])
+
+
+def test_stages_of_columns_with_unlike_numbers_of_categories(spark):
+    df = spark.range(200).select(
+        F.col("id").cast("string").alias("key"), (F.col("id") % 2).cast("double").alias("label"),
+        (F.col("id") % 3).cast("int").alias("fold"), F.lit("only").alias("one"),
+        F.element_at(F.array(*map(F.lit, "ab")), (F.col("id") % 2 + 1).cast("int")).alias("two"),
+        F.element_at(F.array(*map(F.lit, "pqrst")), (F.col("id") % 5 + 1).cast("int")).alias("five"),
+        F.lit(None).cast("string").alias("none"), F.col("id").cast("double").alias("x"),
+    )
+    p = evaluate.Prepared(df, "y", "classification", ["x"], ["one", "two", "five", "none"], [], [0, 1], 3)
+    for i, stages in enumerate(evaluate.fit_by_fold(p)):
+        train = df.where(F.col("fold") != i)
+        model = Pipeline(stages=evaluate.preparation(p, fitted=stages)).fit(train)
+        plain = Pipeline(stages=evaluate.preparation(p)).fit(train)
+        assert model.transform(df).select("features").first() == plain.transform(df).select("features").first()
+
+
+def test_a_failing_preparation_is_a_row_of_errors(spark):
+    df = spark.createDataFrame([("a", 1.0, 0, None), ("b", 0.0, 1, None)], "key string, label double, fold int, x double")
+    p = evaluate.Prepared(df, "y", "classification", ["missing"], [], [], [0, 1], 2)
+    rows = evaluate.leaderboard(p, ["ridge", "tree"]).collect()
+    assert sorted(r.model for r in rows) == ["ridge", "tree"] and all(r.error for r in rows)
