@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,7 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]").appName("foldwise-bench")
         .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="foldwise-bench-"))
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,17 +41,25 @@ def main() -> None:
 
     # One untimed query starts the JVM's and Python's workers.
     registry.QUERIES["run_policy"](spark, folder).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    seconds, failed = {}, {}
     for name in names:
         start = time.perf_counter()
-        registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        try:
+            registry.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # report it and time the others
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"{name} failed: {failed[name]}", file=sys.stderr, flush=True)
+            continue
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
-    print(json.dumps({
+    line = {
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
-    }))
+    }
+    print(json.dumps(line | ({"failed": failed} if failed else {})))
     spark.stop()
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":
