@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -20,6 +19,8 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="foldwise-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,18 +30,11 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session, where the driver is also the executor, may fall back to a
-    temporary folder; a cluster without the setting is an error, because a
-    machine-local folder would be lost with its machine.
+    Where that is unset it is the folder of the context's checkpoints, or one in the warehouse,
+    which the executors share too; never a machine's own temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    fallback = os.path.join(tempfile.gettempdir(), "foldwise-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return known or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
