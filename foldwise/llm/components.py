@@ -13,10 +13,13 @@ MAX_ROUNDS = 200
 def components(edges: DataFrame) -> DataFrame:
     """Label the ends of ``edges`` (columns a, b) with a root that their component shares.
 
-    Each round every node points to the neighbour (or itself) whose hash, salted with the round,
-    is smallest, and edges move to the nodes pointed to. A random order at least halves the nodes
-    that remain in expectation, whatever the shape, so chains take logarithmically many rounds.
-    A node's minimum is a partial aggregate, so a node with many links never gathers them.
+    Each round every node points to the best of its neighbours and itself, and edges move to the
+    nodes pointed to. Best is the node of most links, so that a group of copies around one of them
+    is contracted in one round; among equals it is that of the largest hash, salted with the
+    round, so that chains take logarithmically many rounds. Links are counted and the best is
+    found by partial aggregates, so a node with many links never gathers them.
+
+    Both sides of every join grow with the edges, so they are merged and nothing is broadcast.
 
     Returns node, root; nodes without an edge to another node are absent. NULL ends, loops and
     repeated edges don't matter; an empty table gives an empty one.
@@ -28,18 +31,18 @@ def components(edges: DataFrame) -> DataFrame:
         if live.isEmpty():
             break
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        order = F.struct(F.xxhash64(F.lit(r), "x").alias("h"), F.col("x").alias("to"))
-        nearest = both.groupBy(F.col("a").alias("node")).agg(
-            F.min(F.struct(F.xxhash64(F.lit(r), F.col("b")).alias("h"), F.col("b").alias("to"))).alias("n")
-        )
+        degrees = both.groupBy(F.col("a").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        order = F.struct("n", F.xxhash64(F.lit(r), F.col("b")).alias("h"), F.col("b").alias("to"))
+        near = both.join(degrees.hint("merge"), "b").select("a", order.alias("o"))
+        own = degrees.select(F.col("b").alias("a"), order.alias("o"))
         points = materialise(
-            nearest.select("node", F.col("node").alias("x"), "n")
-            .select("node", F.least(order, F.col("n"))["to"].alias("root"))
+            near.unionByName(own).groupBy(F.col("a").alias("node")).agg(F.max("o").alias("o"))
+            .select("node", F.col("o.to").alias("root"))
         )
         pointers.append(points)
         live = (
-            live.join(points.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
-            .join(points.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
+            live.join(points.select(F.col("node").alias("a"), F.col("root").alias("ra")).hint("merge"), "a")
+            .join(points.select(F.col("node").alias("b"), F.col("root").alias("rb")).hint("merge"), "b")
             .where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
         )
     else:
@@ -49,7 +52,7 @@ def components(edges: DataFrame) -> DataFrame:
     labels = pointers.pop()
     while pointers:
         onward = labels.select(F.col("node").alias("root"), F.col("root").alias("last"))
-        labels = pointers.pop().join(onward, "root", "left").select(
+        labels = pointers.pop().join(onward.hint("merge"), "root", "left").select(
             "node", F.coalesce("last", "root").alias("root")
         )
         labels = materialise(labels)
