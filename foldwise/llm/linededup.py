@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldwise.llm.common import bytes_within, materialise, table
+from foldwise.operators.ordered import lookup_join
 
 #: A line on more than this share of its host's pages is boilerplate ...
 RATIO = 0.02
 #: ... if at least so many pages hold it.
 MIN_PAGES = 5
-#: A line of more words than this does not recur by chance: one that two texts of a host hold is a repeated passage.
+#: A line of more words than this does not recur by chance: one that two texts hold is a repeated passage.
 LONG_WORDS = 50
+#: A text of which such lines are more than this share of the characters is a copy as a whole, which is left to near-dedup.
+WHOLE = 0.8
 #: Bytes of boilerplate keys that may be broadcast; above it they are joined by host.
 BROADCAST_BYTES = 16 << 20
 
@@ -79,36 +82,34 @@ def drop_boilerplate(
     }).drop("__host", "__keys", "__lines", "__kept")
 
 
-def drop_passages(docs: DataFrame, host: str = "source", text: str = "text", words: int = LONG_WORDS) -> DataFrame:
-    """``docs`` whose lines of more than ``words`` words stay in one text of each host that holds them.
+def drop_passages(docs: DataFrame, text: str = "text", words: int = LONG_WORDS) -> DataFrame:
+    """``docs`` whose lines of more than ``words`` words stay in one text of all that hold them.
 
-    Of the distinct texts of a host with such a line that of the least digest keeps it, so no
-    passage is lost and exact copies stay alike. Lines are compared without outer blanks; all else
-    stays as it is and in order. A NULL host is a host of its own; a NULL text stays NULL.
+    Of the distinct texts with such a line, whatever their hosts, that of the least digest keeps
+    it, so no passage is lost and exact copies stay alike. A text that would lose more than WHOLE
+    of its characters stays as it is: it is a near copy, and a stub of it would not be found by
+    the search for such. Lines are compared without outer blanks; all else stays as it is and in order. A NULL text stays NULL; an empty table gives an
+    empty one; all columns are carried along. A line that many texts hold and a text that many
+    rows repeat are hot keys of :func:`lookup_join`, which sends them to no single task.
     """
     long = f"size(split(trim(BOTH ' \t\r' FROM l), '\\\\s+')) > {words}"
     keys = f"array_distinct(transform(filter({lines_of('__text')}, l -> {long}), l -> {key_of('l')}))"
     held = materialise(
-        docs.select(F.col(host).alias("__host"), F.col(text).alias("__text"))
-        .select("__host", F.expr("unhex(md5(__text))").alias("__page"), F.explode(F.expr(keys)).alias("key")).distinct()
+        docs.select(F.col(text).alias("__text"))
+        .select(F.expr("unhex(md5(__text))").alias("__page"), F.explode(F.expr(keys)).alias("__key")).distinct()
     )
     known = (
-        held.groupBy(F.col("__host").alias("h"), F.col("key").alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("__page").alias("first")).where("n > 1")
+        held.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"), F.min("__page").alias("__first")).where("__n > 1")
     )
-    found = materialise(
-        held.join(known, held["__host"].eqNullSafe(known["h"]) & (held["key"] == known["k"])).where("__page <> first")
-        .groupBy("__host", "__page").agg(F.collect_list("key").alias("__keys"))
-    )
-    if bytes_within(found, BROADCAST_BYTES):
-        found = F.broadcast(found)
-    joined = docs.join(
-        found, docs[host].eqNullSafe(found["__host"]) & (F.expr(f"unhex(md5(`{text}`))") == found["__page"]), "left"
+    found = (
+        lookup_join(held, known, ["__key"]).where("__page <> __first")
+        .groupBy("__page").agg(F.collect_list("__key").alias("__keys"))
     )
+    joined = lookup_join(docs.withColumn("__page", F.expr(f"unhex(md5(`{text}`))")), found, ["__page"])
     rest = f"filter({lines_of(f'`{text}`')}, l -> NOT array_contains(__keys, {key_of('l')}))"
-    return joined.withColumn(
-        text, F.expr(f"CASE WHEN __keys IS NULL THEN `{text}` ELSE array_join({rest}, '\n') END")
-    ).select(*docs.columns)
+    cut = joined.withColumn("__rest", F.expr(f"CASE WHEN __keys IS NOT NULL THEN array_join({rest}, '\n') END"))
+    enough = f"length(__rest) >= {1 - WHOLE:.6f} * length(`{text}`)"
+    return cut.withColumn(text, F.expr(f"CASE WHEN {enough} THEN __rest ELSE `{text}` END")).select(*docs.columns)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
