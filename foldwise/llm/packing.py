@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import base64
-import re
+import functools
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -21,8 +21,6 @@ SEQUENCE = 1024
 END_ID = 2
 #: The vocabulary of byte_bpe_50k.json as ranks, which gives the same ids.
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Stretches between spaces whose ids a task remembers; the first ones seen are the common ones.
-REMEMBERED = 400_000
 
 #: Pieces that are packed together, on average; islands of a block, members of an island.
 BLOCK_ITEMS = 4096
@@ -33,50 +31,18 @@ ROUNDS, GENERATIONS = 3, 3
 ELITE_BINS = 0.2
 SEED = 11
 
-DOUBLED = re.compile(r"\s\s")
-BLANK = re.compile(r"\s")
 
+@functools.cache
+def encoder(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
+    """The byte-level BPE of a vocabulary, built once in a Python worker."""
+    with open(public_tokenizers.path(vocabulary), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-class Encoder:
-    """Byte-level BPE ids as little-endian 32-bit bytes.
 
-    The vocabulary's own pattern always begins a new token at a single space, so a text
-    without two adjacent blanks falls apart there, and the ids of a stretch can be remembered.
-    """
-
-    def __init__(self, vocabulary: str = VOCABULARY):
-        with open(public_tokenizers.path(vocabulary), "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bpe = tiktoken.Encoding(
-            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
-        self.known: dict[str, bytes] = {}
-        self.newline = ranks[b"\n"]
-
-    def one(self, text: str) -> bytes:
-        return array("I", self.bpe.encode_ordinary(text)).tobytes()
-
-    def several(self, stretches: list[str]) -> list[bytes]:
-        """Ids of stretches, each after a space; those without blanks in one call, between newlines."""
-        plain = [s for s in stretches if s and not BLANK.search(s)]
-        found = {}
-        if plain:
-            ids = np.array(self.bpe.encode_ordinary("\n".join([f" {s}" for s in plain])), "<u4")
-            for s, part in zip(plain, np.split(ids, np.flatnonzero(ids == self.newline))):
-                found[s] = (part[1:] if len(part) and part[0] == self.newline else part).tobytes()
-        return [found[s] if s in found else self.one(f" {s}") for s in stretches]
-
-    def all(self, texts: list[str | None]) -> list[bytes]:
-        split = [None if DOUBLED.search(t or "") else (t or "").split(" ") for t in texts]
-        new = list(set().union(*[p[1:] for p in split if p]) - self.known.keys())
-        known = self.known
-        room = max(0, REMEMBERED - len(known))
-        ids = self.several(new)
-        known.update(zip(new[:room], ids[:room]))
-        get = (known | dict(zip(new[room:], ids[room:]))).__getitem__ if len(new) > room else known.__getitem__
-        return [
-            self.one(t) if p is None else self.one(p[0]) + b"".join(map(get, p[1:])) for t, p in zip(texts, split)
-        ]
+def encoded(text: str | None, vocabulary: str = VOCABULARY) -> bytes:
+    """A text's ids as little-endian 32-bit bytes; a NULL text has none."""
+    return array("I", encoder(vocabulary).encode_ordinary(text or "")).tobytes()
 
 
 def cuts(length: int, size: int) -> list[tuple[int, int]]:
@@ -95,13 +61,12 @@ def pieces(docs: DataFrame, size: int = SEQUENCE, vocabulary: str = VOCABULARY)
     end = array("I", [END_ID]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows = []
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.all(part.column(1).to_pylist())):
-                    ids += end
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    ids = encoded(text, vocabulary) + end
                     for n, (start, length) in enumerate(cuts(len(ids) // 4, size)):
                         rows.append((doc_id, n, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
                 columns = zip(*rows)
@@ -239,21 +204,21 @@ def a_round(islands: DataFrame, size: int, r: int) -> DataFrame:
 
 
 def laid_out(best: DataFrame, size: int) -> DataFrame:
-    """rid, sequence_id (twice the least rid of the bin) and offset of each piece of the best members."""
+    """__rid, sequence_id (twice the least rid of the bin) and offset of each piece of the best members."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 out = pd.DataFrame({
-                    "rid": np.asarray(row.rids), "length": np.asarray(row.lengths, np.int64),
+                    "__rid": np.asarray(row.rids), "length": np.asarray(row.lengths, np.int64),
                     "bin": np.asarray(row.members[0]),
-                }).sort_values(["bin", "rid"])
+                }).sort_values(["bin", "__rid"])
                 bins = out.groupby("bin")
-                out["sequence_id"] = bins["rid"].transform("min") * 2
+                out["sequence_id"] = bins["__rid"].transform("min") * 2
                 out["offset"] = bins["length"].cumsum() - out["length"]
-                yield out[["rid", "sequence_id", "offset"]]
+                yield out[["__rid", "sequence_id", "offset"]]
 
-    return best.mapInPandas(run, "rid long, sequence_id long, offset long")
+    return best.mapInPandas(run, "__rid long, sequence_id long, offset long")
 
 
 def pack(found: DataFrame, size: int = SEQUENCE, block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -267,16 +232,16 @@ def pack(found: DataFrame, size: int = SEQUENCE, block_items: int = BLOCK_ITEMS)
     best-fit-decreasing or better, results are the same for the same rows. An empty table gives
     an empty one; all columns are kept.
     """
-    numbered = materialise(found.withColumn("rid", F.monotonically_increasing_id()))
+    numbered = materialise(found.withColumn("__rid", F.monotonically_increasing_id()))
     rest = numbered.where(F.col("length") < size)
     blocks = max(1, -(-rest.count() // block_items))
     items = rest.select(
-        F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"),
-        F.struct("rid", F.col("length").cast("int").alias("length")).alias("item"),
+        F.pmod(F.xxhash64("__rid"), F.lit(blocks)).alias("block"),
+        F.struct("__rid", F.col("length").cast("int").alias("length")).alias("item"),
     ).groupBy("block").agg(F.array_sort(F.collect_list("item")).alias("items"))
     islands = items.select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
-        F.col("items.rid").alias("rids"), F.col("items.length").alias("lengths"),
+        F.col("items.__rid").alias("rids"), F.col("items.length").alias("lengths"),
         F.lit(None).cast("array<array<int>>").alias("members"), F.lit(None).cast("array<int>").alias("guest"),
         F.lit(0).alias("n_bins"), F.lit(0.0).alias("evenness"),
     )
@@ -294,11 +259,11 @@ def pack(found: DataFrame, size: int = SEQUENCE, block_items: int = BLOCK_ITEMS)
         F.max_by(F.struct("rids", "lengths", F.slice("members", 1, 1).alias("members")),
                  F.struct(-F.col("n_bins"), "evenness", -F.col("island"))).alias("b")
     ).select("b.*")
-    placed = numbered.where(F.col("length") < size).join(laid_out(best, size), "rid")
+    placed = numbered.where(F.col("length") < size).join(laid_out(best, size), "__rid")
     whole = numbered.where(F.col("length") == size).withColumns(
-        {"sequence_id": F.col("rid") * 2 + 1, "offset": F.lit(0).cast("long")}
+        {"sequence_id": F.col("__rid") * 2 + 1, "offset": F.lit(0).cast("long")}
     )
-    return placed.unionByName(whole).drop("rid")
+    return placed.unionByName(whole).drop("__rid")
 
 
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
