@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators import encode, folds, metrics, schema
+from foldwise.operators.budget import within
 from foldwise.operators.preprocess import (
     MISSING, CategoryImputer, CategoryImputerModel, NumericPreparer, NumericPreparerModel, date_parts,
     fit_categories_by_fold, fit_scaling_by_fold,
@@ -219,18 +221,24 @@ Builders = Mapping[str, Callable[[], Estimator]]
 
 
 def predict_folds(
-    p: Prepared, builders: Builders, parallelism: int = 1
+    p: Prepared, builders: Builders, parallelism: int = 1, fitted: Sequence[Sequence[Model]] | None = None,
+    deadline: float | None = None,
 ) -> tuple[DataFrame | None, dict[str, str], dict[str, PipelineModel]]:
     """Out-of-fold predictions of several models, each row by models that never saw it.
 
     The preparation of all folds is fitted in one pass, and the predictions are written once, so metrics read them and not the models again. A model that fails in any fold is
     left out and reported. Models run side by side on a fold's vectors; folds do when there
-    are more threads than models. Returns the long table ``(model, key, fold, label, prediction,
+    are more threads than models. ``fitted`` is what :func:`fit_by_fold` made, if it is known. What
+    has not ended by ``deadline`` (of ``time.monotonic``) is cancelled and fails with ``timeout``;
+    models that ended stay, if ``parallelism`` leaves them a thread beside those that hang. Returns the long table ``(model, key, fold, label, prediction,
     score, probabilities)``, the errors, and the last fold's fitted pipelines.
     """
     side_by_side = max(1, parallelism // max(len(builders), 1))
+    if deadline is not None and parallelism > 1:
+        side_by_side = p.folds  # or a fit that hangs in one fold would keep the others from theirs
+    spark = p.frame.sparkSession
     try:
-        fitted = fit_by_fold(p)
+        fitted = fitted or within(spark, deadline, lambda: fit_by_fold(p))
     except Exception as e:
         return None, {name: str(e) or repr(e) for name in builders}, {}
 
@@ -243,12 +251,15 @@ def predict_folds(
     def vectors_of(i: int) -> list:
         with fold_vectors(p, i, fitted[i]) as (prep, train, valid):
 
+            def fit_and_score(name: str):
+                model = builders[name]().fit(train)
+                scored = output_columns(p, model.transform(valid), FOLD, LABEL)
+                return materialise(scored.select(F.lit(name).alias("model"), "*")), model
+
             def run(name: str):
                 try:
-                    model = builders[name]().fit(train)
-                    scored = output_columns(p, model.transform(valid), FOLD, LABEL)
-                    scored = scored.select(F.lit(name).alias("model"), "*")
-                    return name, materialise(scored), PipelineModel([*prep.stages, model])
+                    scored, model = within(spark, deadline, lambda: fit_and_score(name))
+                    return name, scored, PipelineModel([*prep.stages, model])
                 except Exception as e:
                     return name, None, str(e) or repr(e)
 
@@ -319,14 +330,18 @@ BOARD_SCHEMA = "model string, fold int, metric string, value double, error strin
 
 def leaderboard(
     p: Prepared, names: Sequence[str], params: Mapping[str, Mapping] | None = None,
-    parallelism: int = 1,
+    parallelism: int = 1, budget: float | None = None,
 ) -> DataFrame:
-    """``(model, fold, metric, value, error)``; a model that fails is reported, not dropped."""
+    """``(model, fold, metric, value, error)``; a model that fails is reported, not dropped.
+
+    A model that is not done after ``budget`` seconds is cancelled; its error is ``timeout``.
+    """
     builders = {
         n: lambda n=n: candidate(n).build(p.task, len(p.classes), **dict((params or {}).get(n, {})))
         for n in names
     }
-    oof, errors, _ = predict_folds(p, builders, parallelism)
+    deadline = None if budget is None else time.monotonic() + budget
+    oof, errors, _ = predict_folds(p, builders, parallelism, deadline=deadline)
     failed = p.frame.sparkSession.createDataFrame([(n, None, None, None, e) for n, e in errors.items()], BOARD_SCHEMA)
     if oof is None:
         return failed

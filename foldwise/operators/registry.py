@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import InheritableThread
 from pyspark.ml import Estimator, Model
@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FEATURES, LABEL, PREDICTION = "features", "label", "prediction"
+from foldwise.operators.boosting import FEATURES, LABEL, PREDICTION, Boosted, Settings
 SEED = 42
 RAW = "ridge_scores"
 #: The most features that MLlib's normal equations take.
@@ -147,17 +147,27 @@ def _one_vs_rest(base, classes: int):
     )
 
 
-def _boosted(**defaults) -> Candidate:
-    """Gradient-boosted trees; several classes become one model per class."""
+# The names that users of boosted trees know, and ours.
+BOOSTED_NAMES = {
+    "n_estimators": "rounds", "iterations": "rounds", "maxIter": "rounds",
+    "learning_rate": "rate", "stepSize": "rate",
+    "max_depth": "depth", "depth": "depth", "maxDepth": "depth", "num_leaves": "leaves",
+    "min_child_samples": "min_rows", "minInstancesPerNode": "min_rows", "min_child_weight": "min_weight",
+    "subsample": "row_share", "subsamplingRate": "row_share", "colsample_bytree": "column_share",
+    "l2_leaf_reg": "penalty", "reg_lambda": "penalty", "max_bin": "bins", "random_state": "seed",
+}
+
+
+def boosted_settings(defaults: Settings, params: Mapping) -> Settings:
+    """``defaults`` changed by parameters under any known name."""
+    return replace(defaults, **{BOOSTED_NAMES.get(name, name): value for name, value in params.items()})
 
-    def classifier(classes: int, **params):
-        base = C.GBTClassifier(**_cols(seed=SEED, **(defaults | params)))
-        if classes <= 2:
-            return base
-        return _one_vs_rest(base, classes)
 
+def _boosted(defaults: Settings) -> Candidate:
+    """Gradient-boosted trees; several classes share a softmax."""
     return Candidate(
-        classifier, lambda **params: R.GBTRegressor(**_cols(seed=SEED, **(defaults | params)))
+        lambda classes, **params: Boosted(boosted_settings(defaults, params), classes),
+        lambda **params: Boosted(boosted_settings(defaults, params)),
     )
 
 
@@ -189,11 +199,11 @@ class Perceptron(Estimator):
         ).fit(df)
 
 
-# Registry names, and the default depth, rate and rounds of the boosted families.
+# Registry names, and the default limits, rate, rounds and penalty of the boosted families.
 REGISTRY: dict[str, Candidate] = {
-    "xgb": _boosted(maxDepth=6, stepSize=0.3, maxIter=100),
-    "lgb": _boosted(maxDepth=5, stepSize=0.1, maxIter=100, minInstancesPerNode=20),
-    "cat": _boosted(maxDepth=6, stepSize=0.03, maxIter=1000),
+    "xgb": _boosted(Settings(rounds=100, rate=0.3, depth=6, min_weight=1.0, penalty=1.0)),
+    "lgb": _boosted(Settings(rounds=100, rate=0.1, depth=None, leaves=31, min_rows=20, min_weight=1e-3, penalty=0.0)),
+    "cat": _boosted(Settings(rounds=1000, rate=0.03, depth=6, penalty=3.0)),
     "ridge": Candidate(
         lambda classes, **p: RidgeClassifier(classes=classes, **p), lambda **p: Ridge(**p)),
     "random_forest": Candidate(

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StopWordsRemover, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.functions.hashing import unit_hash
 from foldwise.operators import ensemble, evaluate, folds, metrics, output, tuning, unsupervised
+from foldwise.operators.boosting import Boosted, Settings
 from foldwise.operators.evaluate import FOLD, KEY, LABEL
 from foldwise.operators.registry import REGISTRY, Ridge
 from foldwise.plans.fixtures import LINE_KEY, line_key, lineitem, sql_fold
@@ -319,9 +319,8 @@ def early_stopping(spark: SparkSession, sf: str) -> DataFrame:
 
     def fit(train: DataFrame, valid: DataFrame) -> tuple[int, DataFrame]:
         marked = train.withColumn("held", unit_hash(F.col(KEY), "held") < 0.2)
-        model = GBTClassifier(
-            maxIter=10, maxDepth=3, seed=42, validationIndicatorCol="held", validationTol=0.01
-        ).fit(marked)
+        settings = Settings(rounds=10, depth=3, rate=0.3)
+        model = Boosted(settings, 2, held="held", patience=2, tolerance=1e-4).fit(marked)
         return model.getNumTrees, model.transform(valid)
 
     return fold_scores(spark, p, fit, "rounds")
