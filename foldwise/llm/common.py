@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from foldwise.session import materialise
 
-__all__ = ["bytes_within", "hash_sample", "labelled_sample", "materialise", "remainder", "table", "unsigned"]
+__all__ = ["bytes_within", "hash_sample", "labelled_sample", "materialise", "release", "remainder", "table", "unsigned"]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    Its cleaner follows the driver's garbage collection, which a driver of little work may not
+    need for many steps, while the executors' disks fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
