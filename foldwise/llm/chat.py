@@ -40,19 +40,22 @@ def text_part(text: Column) -> Column:
 def visit(parts: str = "parts") -> tuple[Column, Column]:
     """What a message's parts become, in order: its text with placeholders, and its attachments.
 
-    A text part gives its escaped text, an image, audio or document part its placeholder and an
-    attachment (type, ref, tokens); parts of another type give nothing. NULL parts, texts and
-    units count as empty or zero.
+    Text parts give their text, escaped after parts that follow each other are joined, so that no
+    control string stands across two of them; an image, audio or document part gives its
+    placeholder and an attachment (type, ref, tokens); parts of another type give nothing. NULL
+    parts, texts and units count as empty or zero.
     """
     kinds = " ".join(f"WHEN p.type = '{k}' THEN '{v}'" for k, v in PLACEHOLDERS.items())
     rates = " ".join(f"WHEN p.type = '{k}' THEN {v}D" for k, v in TOKENS_PER_UNIT.items())
     names = ", ".join(f"'{k}'" for k in PLACEHOLDERS)
-    pieces = F.transform(
-        F.coalesce(F.col(parts), F.array().cast(PARTS)),
-        lambda p: F.when(p["type"] == "text", F.coalesce(escape(p["text"]), F.lit(""))).otherwise(
-            F.coalesce(*[F.when(p["type"] == k, F.lit(v)) for k, v in PLACEHOLDERS.items()], F.lit(""))
-        ),
-    )
+    # Runs of text, and placeholders as (NULL, mark).
+    runs = f"""
+      aggregate(filter(coalesce({parts}, array()), p -> p.type IN ('text', {names})),
+        CAST(array() AS ARRAY<STRUCT<text: STRING, mark: STRING>>),
+        (s, p) -> IF(p.type = 'text' AND try_element_at(s, -1).text IS NOT NULL,
+          concat(slice(s, 1, size(s) - 1), array(named_struct('text', concat(try_element_at(s, -1).text, coalesce(p.text, '')), 'mark', NULL))),
+          concat(s, array(named_struct('text', IF(p.type = 'text', coalesce(p.text, ''), NULL), 'mark', CASE {kinds} END)))))"""
+    pieces = F.transform(F.expr(runs), lambda r: F.coalesce(r["mark"], escape(r["text"])))
     attachments = F.expr(
         f"transform(filter(coalesce({parts}, array()), p -> p.type IN ({names})), p -> named_struct("
         f"'type', p.type, 'ref', p.ref, 'placeholder', CASE {kinds} END, "

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import ahocorasick
@@ -97,6 +97,34 @@ def myers(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
     return (best, end) if best <= errors else None
 
 
+def reach(pattern: str, text: str, distance: int) -> int:
+    """How many characters of ``text``, from its first on, lie at ``distance`` of ``pattern``, where
+    that is the least there is: the number closest to the pattern's length, and of two the greater."""
+    m = len(pattern)
+    masks: dict[str, int] = {}
+    for i, c in enumerate(pattern):
+        masks[c] = masks.get(c, 0) | 1 << i
+    full, last = (1 << m) - 1, 1 << (m - 1)
+    up, down, score = full, 0, m
+    best = 0 if m == distance else -m - distance - 1
+    for j, c in enumerate(text[: m + distance]):
+        eq = masks.get(c, 0)
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = down | ~(xh | up) & full
+        mh = up & xh
+        if ph & last:
+            score += 1
+        elif mh & last:
+            score -= 1
+        # Each character before the pattern costs one, as the match begins with the text.
+        ph, mh = (ph << 1 | 1) & full, mh << 1 & full
+        up, down = mh | ~(xv | ph) & full, ph & xv
+        if score == distance and abs(j + 1 - m) <= abs(best - m):
+            best = j + 1
+    return best
+
+
 def rolling(text: str) -> np.ndarray:
     """A hash of the ANCHOR characters from every place of ``text`` on."""
     h = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -190,8 +218,10 @@ class Matcher:
             if best:
                 distance, end = best
                 words = words or places(low)
+                begin = end - reach(item[::-1], whole[max(0, end - len(item) - distance) : end][::-1], distance)
                 last = bisect_left(words, (end - 1,)) - 1
-                first = min(last, bisect_left(words, (end - len(item) + 1,)))
+                # A word whose end is all that the stretch holds of it counts as whole.
+                first = min(last, max(0, bisect_right(words, (begin + 1, len(low), len(low))) - 1))
                 found.append((item_id, words[first][1], words[last][2], distance, len(item)))
         return found
 

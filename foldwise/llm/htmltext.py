@@ -19,8 +19,6 @@ SAMPLE_PAGES, SAMPLE_CHARS = 300, 40_000
 #: Rows and widths of the tables for path tokens and words; width of the LSTM in each direction.
 PATH_ROWS, PATH_DIM, WORD_ROWS, WORD_DIM, HIDDEN = 2048, 16, 2048, 6, 16
 EPOCHS, BATCH, RATE, SEED = 14, 24, 0.01, 1
-#: Path elements that are read at either end of a deeper path.
-NEAR = 8
 #: Pages that a task labels at once, and blocks of one such batch.
 PAGES_AT_ONCE, BLOCKS_AT_ONCE = 128, 1 << 15
 
@@ -75,11 +73,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
     Comments, scripts, styles, the head and form fields hold no text. Unclosed and stray tags are
     read as browsers do: a block closes open paragraphs and inline elements, an end tag without
-    its start is nothing, an unfinished tag at the end of the page is dropped.
+    its start is nothing, an unfinished tag at the end of the page is dropped. A block's path holds
+    each token of all block elements above it once, however many they are.
     """
     blocks: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
     opened: dict[str, int] = {}
+    above: dict[str, int] = {}
     buffer: list[str] = []
     links = 0
 
@@ -89,15 +89,17 @@ def leaf_blocks(page: str | None) -> list[Block]:
             whole = "".join(buffer)
             text = " ".join((html.unescape(whole) if "&" in whole else whole).split())
             if text:
-                near = stack if len(stack) <= 2 * NEAR else stack[:NEAR] + stack[-NEAR:]
-                path = tuple(t for tag, tokens in near if tag not in INLINE for t in tokens)
-                blocks.append(Block(text, path, min(1.0, links / max(1, len(whole.strip())))))
+                blocks.append(Block(text, tuple(above), min(1.0, links / max(1, len(whole.strip())))))
             buffer.clear()
             links = 0
 
     def pop() -> None:
-        tag, _ = stack.pop()
+        tag, tokens = stack.pop()
         opened[tag] -= 1
+        for t in tokens:
+            above[t] -= 1
+            if not above[t]:
+                del above[t]
 
     for m in TOKEN.finditer(page or ""):
         if (text := m["text"]) is not None:
@@ -127,7 +129,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
             while stack and (stack[-1][0] in INLINE or stack[-1][0] == "p" or stack[-1][0] in closes):
                 pop()
         if not m["attributes"].endswith("/"):
-            stack.append((tag, element_tokens(tag, m["attributes"])))
+            tokens = element_tokens(tag, m["attributes"]) if tag not in INLINE else []
+            for t in tokens:
+                above[t] = above.get(t, 0) + 1
+            stack.append((tag, tokens))
             opened[tag] = opened.get(tag, 0) + 1
     flush()
     return blocks
@@ -325,7 +330,7 @@ KINDS = {
     "footer": ("footer", "div.footer", "div#footer", "footer p", "div.copyright", "footer ul li", "div.site-info", "div.legal"),
     "sidebar": ("aside", "aside.sidebar", "div.sidebar", "div#sidebar", "aside ul li", "div.widget", "div.related ul li",
                 "section.related", "div.right-column", "div.recommended", "div.popular li", "div.more-stories", "div.tags"),
-    "notice": ("div.cookie-notice", "div#cookie-banner", "div.notice", "div.consent", "div.alert", "dialog", "div.modal",
+    "notice": ("div.cookie-notice", "div#cookie-banner", "div.notice", "div.consent", "div#cc-window", "div#gdpr", "div.alert", "dialog", "div.modal",
                "div.popup", "section.disclaimer", "div.gdpr", "div.paywall", "div.message", "div.warning", "p.notice", "div.announcement"),
     "advert": ("div.ad", "div.ads", "div.advert", "div.advertisement", "aside.ad", "div.banner", "div.sponsored", "div.promo",
                "section.promotion", "div#ad-slot", "div.sponsor", "div.adbox", "p.ad", "div.commercial"),

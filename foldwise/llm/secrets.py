@@ -11,18 +11,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foldwise.llm.common import hash_sample, materialise, table
 
-#: What is looked at: runs of at least 16 characters that keys, hashes and tokens are written in.
-CANDIDATE = "[A-Za-z0-9+/_-]{16,}={0,2}"
+#: What is looked at: values of at least 8 characters of any kind after a telling name and in the
+#: user part of an address, and runs of at least 16 that keys, hashes and tokens are written in.
+NAME = "(?i:passw(?:or)?d|passwd|secret|token|api[_-]?key|auth)"
+VALUE = "(?<=[:=\"\\x27 ])(?<=" + NAME + "[\"\\x27]? {0,2}[:=]{1,2} {0,2}[\"\\x27]?)[^\\s\"\\x27:=][^\\s\"\\x27]{7,}"
+LOGIN = "(?<=:)(?<=://[A-Za-z0-9._-]{1,32}:)[^\\s@/]{8,}(?=@)"
+CANDIDATE = f"{VALUE}|{LOGIN}|[A-Za-z0-9+/_-]{{16,}}={{0,2}}"
 #: Characters kept of what stands before and after a candidate.
 BEFORE, AFTER = 48, 24
 #: Distant labels of the findings to learn from: formats and assignments, and plain words and numbers.
 SECRET_FORMAT = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 ASSIGNED = r"(?i)(passw(or)?d|passwd|secret|token|api[_-]?key|auth)[\"']?\s*[:=]+\s*[\"']?$"
 PLAIN = "^([A-Z]?[a-z]+|[0-9]+|[A-Z]+|[a-z]+(-[a-z]+)+)$"
-#: The bounds of what is learnt from: findings of each class, texts of the dictionary, characters of each.
-PER_CLASS, DICTIONARY_TEXTS, DICTIONARY_CHARS = 3000, 2000, 20_000
-#: Texts of the dictionary sample in which a trigram must occur to be a part of words.
-TRIGRAM_TEXTS = 3
+#: The most findings of each class that are learnt from.
+PER_CLASS = 3000
+#: A trigram is a part of words if it stands in more than this share of a text's worth of words, and in 3 at least.
+TRIGRAM_SHARE, TRIGRAM_LEAST = 0.0015, 3
 TREES, DEPTH, SEED = 24, 6, 6
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -53,9 +57,10 @@ def candidates(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     Row by row, without a shuffle; starts are code points from 0. NULL and empty texts have none.
     """
     keep = keep or ["doc_id"]
+    pattern = CANDIDATE.replace("\\", "\\\\")  # as an SQL literal
     cut = docs.select(
-        *keep, F.expr(f"split(text, '{CANDIDATE}', -1)").alias("__gaps"),
-        F.expr(f"regexp_extract_all(text, '{CANDIDATE}', 0)").alias("__found"),
+        *keep, F.expr(f"split(text, '{pattern}', -1)").alias("__gaps"),
+        F.expr(f"regexp_extract_all(text, '{pattern}', 0)").alias("__found"),
     ).where("size(__found) > 0")
     starts = """
       aggregate(sequence(0, size(__found) - 1), named_struct('at', 0L, 'all', CAST(array() AS ARRAY<BIGINT>)),
@@ -84,14 +89,17 @@ class Lexicon:
 
     @classmethod
     def fit(cls, docs: DataFrame) -> Lexicon:
-        """From the words of at most DICTIONARY_TEXTS texts; two tables of fixed size reach the driver."""
+        """From the distinct words of every text, in one pass of partial counts; of the 1,296 pairs and
+        17,576 trigrams that there can be, those found reach the driver."""
         n = len(SYMBOLS)
-        sample = materialise(
-            hash_sample(docs.select("text").where(F.length("text") <= DICTIONARY_CHARS), DICTIONARY_TEXTS, "text")
-        )
-        words = sample.select(F.explode(F.array_distinct(F.expr("regexp_extract_all(lower(text), '[a-z0-9]{2,15}', 0)"))).alias("w"))
-        pairs = words.select(F.expr("explode(transform(sequence(1, length(w) - 1), i -> substring(w, i, 2)))").alias("g"))
-        counts = {r.g: r.n for r in pairs.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+        words = docs.select(F.explode(F.array_distinct(F.expr("regexp_extract_all(lower(text), '[a-z0-9]{2,15}', 0)"))).alias("w"))
+        grams = words.select(F.expr("""explode(concat(
+          transform(sequence(1, length(w) - 1), i -> substring(w, i, 2)),
+          IF(length(w) > 2 AND NOT w RLIKE '[0-9]',
+            transform(sequence(1, length(w) - 2), i -> substring(w, i, 3)), CAST(array() AS ARRAY<STRING>))))""").alias("g"))
+        found = {r.g: r.n for r in grams.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+        texts = docs.count()
+        counts = {g: k for g, k in found.items() if len(g) == 2}
         total = sum(counts.values()) + n * n
         levels = []
         for a in SYMBOLS:
@@ -99,12 +107,8 @@ class Lexicon:
             for b in SYMBOLS:
                 lift = math.log((counts.get(a + b, 0) + 1) / row * n) if total else 0.0
                 levels.append(str(min(9, max(0, round(5 + 1.5 * lift)))))
-        threes = words.where("length(w) > 2 AND w RLIKE '^[a-z]+$'").select(
-            F.explode(F.expr("array_distinct(transform(sequence(1, length(w) - 2), i -> substring(w, i, 3)))")).alias("g")
-        )
-        known = {
-            r.g for r in threes.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= TRIGRAM_TEXTS).collect()
-        }
+        least = max(TRIGRAM_LEAST, TRIGRAM_SHARE * texts)
+        known = {g for g, k in found.items() if len(g) == 3 and k >= least}
         trigrams = "".join("1" if a + b + c in known else "0" for a in LETTERS for b in LETTERS for c in LETTERS)
         return cls("".join(levels), trigrams)
 

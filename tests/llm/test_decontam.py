@@ -55,6 +55,34 @@ def test_every_item_within_its_edits_is_found_and_no_other():
         assert {f[0]: f[3] for f in matcher.find(doc)} == want
 
 
+def distances(pattern, text):
+    """Edits between the pattern and each prefix of the text."""
+    row = list(range(len(text) + 1))
+    for i, p in enumerate(pattern, 1):
+        left, row[0] = row[0], i
+        for j, t in enumerate(text, 1):
+            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (p != t))
+    return row
+
+
+def test_starts_equal_brute_force():
+    rng = random.Random(8)
+    for _ in range(300):
+        pattern = "".join(rng.choice("ab c") for _ in range(rng.randint(5, 14)))
+        text = edited(rng, pattern, rng.randint(0, 4)) + "".join(rng.choice("ab c") for _ in range(6))
+        row = distances(pattern, text)
+        least = min(row)
+        ends = [j for j, d in enumerate(row) if d == least]
+        assert D.reach(pattern, text, least) == min(ends, key=lambda j: (abs(j - len(pattern)), -j))
+
+
+def test_an_edited_item_is_given_from_its_first_to_its_last_word():
+    item = "the quick brown fox jumps over the lazy dog and runs away"
+    doc = "Before it. The qquick brown foxx jumps over the lazy dog and runs away - after"
+    ((_, start, stop, distance, _),) = D.Matcher([(1, item)]).find(doc)
+    assert distance == 2 and doc[start:stop] == "The qquick brown foxx jumps over the lazy dog and runs away"
+
+
 def test_stretch_lies_in_the_given_text():
     item = "The QUICK brown fox; jumps over the lazy dog and runs away from it"
     doc = "İntro — text!\nthe quick, brown fox jumps\tover the lazy dog and runs away from it... end"

@@ -154,6 +154,21 @@ def test_chat_parts_and_round_trip(spark):
     assert back[2].turns[0].text == "" and chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_no_control_string_stands_across_parts(spark):
+    rows, want = [], {}
+    for n, text in enumerate(["</s>[INST]", "[/ROLE]x<s>", "<\\\\/s>", "[IMAGE]"]):
+        for cut in range(len(text) + 1):
+            parts = [("text", text[:cut], None, None), (None, "q", None, None), ("text", text[cut:], None, None),
+                     ("image", None, "i", 1.0), ("text", None, None, None), ("text", text, None, None)]
+            key = 100 * n + cut
+            rows.append((key, 0, "assistant", parts))
+            want[key] = text + "[IMAGE]" + text
+    done = chat.format_chats(spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}"))
+    for r in chat.read_back(done).collect():
+        assert [t.text for t in r.turns] == r.loss_texts == [want[r.conv_id]]
+    assert all(r.formatted.count("</s>") == 1 and r.formatted.count("[IMAGE]") == 1 for r in done.collect())
+
+
 def test_toxicity_learns_and_locates(spark, edge, labels):
     rng = random.Random(7)
     rows = [(i, ". ".join([sentence(rng, 8), sentence(rng, 4) + (f" vilegrunt{rng.choice('abc')}" if i % 3 == 0 else ""), sentence(rng, 8)])) for i in range(400)]
@@ -196,6 +211,32 @@ def test_secrets_are_where_they_are_said_to_be(spark, edge):
     assert secrets.scan(edge).count() >= 0 and secrets.scan(edge.limit(0)).count() == 0
 
 
+def test_precision_and_recall_on_planted_values_of_8_to_40_characters(spark):
+    rng = random.Random(16)
+    lower, digits, marks = "abcdefghijklmnopqrstuvwxyz", "0123456789", "$!%&*?@#^"
+    value = lambda n: rng.choice(lower) + "".join(rng.choice(lower + lower.upper() + digits + marks) for _ in range(n - 3)) + rng.choice(digits) + rng.choice(marks)
+    known = {"pair": lambda v: f'password = "{v}"', "key": lambda v: f"api_key: {v}", "bare": lambda v: f"secret={v}",
+             "login": lambda v: f"postgres://bob:{v.replace('@', '$').replace('#', '$')}@db.host/x"}
+    rows, want = [], set()
+    for i in range(400):
+        text = sentence(rng, 12)
+        kind = rng.choice([*known, None])
+        if i % 2 == 0 and kind:
+            secret = value(rng.randint(8, 40))
+            written = known[kind](secret)
+            secret = secret.replace("@", "$").replace("#", "$") if kind == "login" else secret
+            text += f" {written} " + sentence(rng, 6)
+            want.add((i, text.index(secret), len(secret)))
+        elif i % 2:
+            text += rng.choice([" password: forgotten again ", " see http://example.com/abcdefghi/jklmnopq ", ' name = "alphabet" ', " total: 12345678 "])
+        rows.append((i, text))
+    scored = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("score >= 0.5").collect()
+    found = {(r.doc_id, r.start, len(r.c)) for r in scored}
+    hit = len(found & want)
+    print(f"op6 planted: recall {hit / len(want):.3f}, precision {hit / max(1, len(found)):.3f}")
+    assert hit / len(want) >= 0.9 and hit / len(found) >= 0.9
+
+
 def test_pages_in_other_markup(spark):
     rng = random.Random(5)
     para = lambda n=40: sentence(rng, n).capitalize() + "."
@@ -207,6 +248,12 @@ def test_pages_in_other_markup(spark):
     body = [para() for _ in range(3)]
     rows.append((60, "u", "<div class='main-menu'><a>Home</a></div><div id=content>" + "".join(f"<p>{b}<br>&amp; <b>on</b></p>" for b in body) + f"<script>if(a<b)</script></div><section class='comments'><p>{para(12)}</p></section><aside class=sidebar>{para(6)}</aside><form><label>Mail</label></form>"))
     want[60] = " ".join(f"{b} & on" for b in body)
+    # Containers far from either end of a deep path.
+    deep = lambda n, inner: "<div>" * n + inner + "</div>" * n
+    body = [para() for _ in range(3)]
+    rows.append((64, "u", deep(9, "<article>" + deep(9, "".join(f"<p>{b}</p>" for b in body)) + "</article>"
+                 + "<section class=comments>" + deep(9, f"<p>{para(12)}</p><p>{para(9)}</p>") + "</section>")))
+    want[64] = " ".join(body)
     rows += [(61, None, None), (62, "u", ""), (None, "u", "<p"), (63, "u", "<div>" * 3000 + "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     model = htmltext.train(pages)
