@@ -2,14 +2,15 @@
 
 Rows are binned once. A pass over them sums, inside each task, the gradients, curvatures and rows
 of every bin of the nodes that may split next; Spark adds the tasks' sums by node, feature and
-bin, finds each node's best split in running sums, and sends the driver one row a node. A tree
-takes a pass a level, for all classes at once.
+bin, the task that holds a feature finds its best splits in running sums, and the driver gets one
+row a task and node. A tree takes a pass a level, for all classes at once.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from collections import namedtuple
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
@@ -22,7 +23,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from foldwise.session import materialise
 
@@ -68,6 +68,16 @@ class Settings:
             raise ValueError("a tree needs a limit of its depth or its leaves")
 
 
+#: What a task says of a node.
+FOUND = {
+    "k": "int", "node": "int", "all_g": "double", "all_h": "double", "all_n": "long", "gain": "double",
+    "feature": "int", "bin": "int", "left_g": "double", "left_h": "double", "left_n": "long",
+}
+FOUND_SCHEMA = pa.schema([(c, {"int": pa.int32(), "long": pa.int64(), "double": pa.float64()}[t]) for c, t in FOUND.items()])
+#: The same of all tasks: the sums of a node and its best split, whose gain is minus infinity if none is allowed.
+Split = namedtuple("Split", FOUND)
+
+
 @dataclass
 class Node:
     """A node while its tree grows: its sums, and its best split once that is known."""
@@ -283,33 +293,46 @@ def sums(rows: DataFrame, state: State, trees: list[Tree], active: list[list[int
         )
 
     found = rows.mapInArrow(run, "k int, node int, feature int, bin int, g double, h double, n long")
-    # Dealt by feature once, for the sums by bin and the running sums over them.
+    # Dealt by feature once: the sums by bin and the running sums over them need no other shuffle.
     dealt = found.repartition("k", "node", "feature")
     return dealt.groupBy("k", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
 
 
-def best_splits(histogram: DataFrame, settings: Settings) -> list:
-    """Per class and node its sums and its best split, ties to the first feature and bin; one row a node."""
-    each = Window.partitionBy("k", "node", "feature")
-    upto = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = {f"all_{c}": F.sum(c).over(each) for c in "ghn"}
-    left = {f"left_{c}": F.sum(c).over(upto) for c in "ghn"}
-    lam = F.lit(float(settings.penalty))
-    term = lambda g, h: F.coalesce(F.try_divide(g * g, h + lam), F.lit(0.0))
-    right = {c: F.col(f"all_{c}") - F.col(f"left_{c}") for c in "ghn"}
-    gain = term(F.col("left_g"), F.col("left_h")) + term(right["g"], right["h"]) - term(F.col("all_g"), F.col("all_h"))
-    allowed = (
-        (F.col("left_n") >= max(settings.min_rows, 1)) & (right["n"] >= max(settings.min_rows, 1))
-        & (F.col("left_h") >= settings.min_weight) & (right["h"] >= settings.min_weight)
-    )
-    split = histogram.select("k", "node", "feature", "bin", *[c.alias(n) for n, c in (whole | left).items()])
-    split = split.withColumn("gain", F.when(allowed, gain))
-    return split.groupBy("k", "node").agg(
-        *[F.max_by(f"all_{c}", F.struct(-F.col("feature"), -F.col("bin"))).alias(f"all_{c}") for c in "ghn"],
-        F.max(F.when(F.col("gain").isNotNull(), F.struct(
-            "gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"), "left_g", "left_h", "left_n"
-        ))).alias("s"),
-    ).collect()
+def best_splits(histogram: DataFrame, settings: Settings) -> list[Split]:
+    """Per class and node its sums and its best split, ties to the first feature and bin.
+
+    The bins of a feature lie in one task, which keeps the best of its features for each node; the
+    driver picks from one row a task and node.
+    """
+    rows = max(settings.min_rows, 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        whole = pa.Table.from_batches(parts).to_pandas().sort_values(["k", "node", "feature", "bin"], ignore_index=True)
+        one = whole.groupby(["k", "node", "feature"])
+        for c in "ghn":
+            whole[f"left_{c}"] = one[c].cumsum()
+            whole[f"all_{c}"] = one[c].transform("sum")
+        term = lambda g, h: np.divide(g * g, h + settings.penalty, out=np.zeros(len(g)), where=h + settings.penalty > 0)
+        right = {c: (whole[f"all_{c}"] - whole[f"left_{c}"]).to_numpy() for c in "ghn"}
+        left = {c: whole[f"left_{c}"].to_numpy() for c in "ghn"}
+        gain = term(left["g"], left["h"]) + term(right["g"], right["h"]) - term(whole.all_g.to_numpy(), whole.all_h.to_numpy())
+        allowed = (left["n"] >= rows) & (right["n"] >= rows) & (left["h"] >= settings.min_weight) & (right["h"] >= settings.min_weight)
+        whole["gain"] = np.where(allowed, gain, -np.inf)
+        # The first of the greatest, in the order of features and bins.
+        best = whole.loc[whole.groupby(["k", "node"])["gain"].idxmax(), list(FOUND)]
+        yield pa.RecordBatch.from_pandas(best, schema=FOUND_SCHEMA, preserve_index=False)
+
+    found = histogram.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in FOUND.items())).collect()
+    best: dict[tuple[int, int], Split] = {}
+    for r in found:
+        x = Split(*r)
+        old = best.get((x.k, x.node))
+        if old is None or (x.gain, -x.feature) > (old.gain, -old.feature):
+            best[x.k, x.node] = x
+    return list(best.values())
 
 
 class Growing:
@@ -324,12 +347,11 @@ class Growing:
         self.settings, self.nodes = settings, [Node(0, 0.0, 0.0, 0)]
         self.unknown = [0]
 
-    def learn(self, node: int, row) -> None:
-        x = self.nodes[node]
-        x.g, x.h, x.n = row.all_g, row.all_h, row.all_n
-        if row.s is not None:
-            x.gain, x.feature, x.bin = row.s.gain, -row.s.f, -row.s.b
-            x.left = (row.s.left_g, row.s.left_h, row.s.left_n)
+    def learn(self, split: Split) -> None:
+        x = self.nodes[split.node]
+        x.g, x.h, x.n = split.all_g, split.all_h, split.all_n
+        x.gain, x.feature, x.bin = split.gain, split.feature, split.bin
+        x.left = (split.left_g, split.left_h, split.left_n)
 
     def taken(self) -> list[int]:
         """The known splits of best-first growth, in order."""
@@ -387,7 +409,7 @@ def grow_round(rows: DataFrame, state: State, number: int) -> list[Tree]:
             part = wanted[start : start + room]
             active = [[i for c, i in part if c == k] for k in range(state.classes)]
             for r in best_splits(sums(rows, state, trees, active, number), state.settings):
-                growing[r.k].learn(r.node, r)
+                growing[r.k].learn(r)
         for x in growing:
             x.grow()
     return [x.tree(set(x.taken()), state.scale) for x in growing]
