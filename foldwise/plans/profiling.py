@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions import numeric
 from foldwise.operators import profile, schema
+from foldwise.operators.neighbours import mutual_information_nearest
 from foldwise.operators.registry import in_parallel
 from foldwise.plans.fixtures import LINE_KEY, SPARSE_ORDERS, line_key, sparse_orders
 from foldwise.session import scratch_path
@@ -361,6 +362,38 @@ b AS (SELECT f.*, list_sum(list_transform(list_distinct(q.q), lambda v: (o_total
 """ + _mi_sql("""SELECT 'o_orderstatus' AS "column", coalesce(o_orderstatus, 'Missing') AS value, y FROM b
   UNION ALL SELECT 'o_orderpriority', coalesce(o_orderpriority, 'Missing'), y FROM b""")
 
+def mutual_info_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """Categories against the price in whole cents, by nearest neighbours."""
+    cents = sparse_orders(spark, sf).withColumn("o_totalprice", F.round(F.col("o_totalprice") * 100))
+    found = mutual_information_nearest(cents, ["o_orderstatus", "o_orderpriority"], "o_totalprice")
+    return found.withColumn("mi", F.round("mi", 6))
+
+
+def _psi(x: str) -> str:
+    """SQL for the digamma function: lifted by 8, then its asymptotic series."""
+    z = f"({x} + 8)::DOUBLE"
+    lift = " - ".join(f"1 / ({x} + {i})::DOUBLE" for i in range(8))
+    return f"(ln({z}) - 1 / (2 * {z}) - 1 / (12 * pow({z}, 2)) + 1 / (120 * pow({z}, 4)) - 1 / (252 * pow({z}, 6)) - {lift})"
+
+
+QUERIES["mutual_info_nearest"] = mutual_info_nearest
+ORACLE["mutual_info_nearest"] = f"""WITH {SPARSE_ORDERS},
+f AS (SELECT coalesce(o_orderstatus, 'Missing') AS s, coalesce(o_orderpriority, 'Missing') AS p,
+  coalesce(round(o_totalprice * 100), 0) AS y FROM sparse),
+tall AS (SELECT 'o_orderstatus' AS "column", s AS x, y FROM f UNION ALL SELECT 'o_orderpriority', p, y FROM f),
+near AS (SELECT "column", x, y, count(*) OVER (PARTITION BY "column", x) AS size,
+  [y - lag(y, 1) OVER w, y - lag(y, 2) OVER w, y - lag(y, 3) OVER w, lead(y, 1) OVER w - y, lead(y, 2) OVER w - y, lead(y, 3) OVER w - y] AS ds
+  FROM tall WINDOW w AS (PARTITION BY "column", x ORDER BY y)),
+reach AS (SELECT "column", x, y, size, least(3, size - 1) AS k,
+  list_sort(list_filter(ds, lambda v: v IS NOT NULL))[least(3, size - 1)] AS d FROM near WHERE size > 1),
+held AS (SELECT "column", y, count(*) AS n FROM reach GROUP BY ALL),
+asked AS (SELECT "column", x, y, d, size, k, count(*) AS w FROM reach GROUP BY ALL),
+met AS (SELECT a."column", a.x, a.y, a.d, a.size, a.k, a.w, sum(h.n) AS m FROM asked a JOIN held h
+  ON h."column" = a."column" AND h.y >= a.y - a.d AND h.y <= a.y + a.d
+  WHERE abs(h.y - a.y) < a.d OR h.y = a.y GROUP BY ALL)
+SELECT "column", round(greatest(0, {_psi('sum(w)')} + sum(w * ({_psi('k')} - {_psi('size')} - {_psi('m')})) / sum(w)), 6) AS mi
+FROM met GROUP BY "column" """
+
 QUERIES["category_samples"] = lambda spark, sf: profile.value_samples(
     table(spark, sf, "part"), ["p_name", "p_brand", "p_type"]
 )
