@@ -195,7 +195,12 @@ class State:
     recent: list[list[Tree]] = field(default_factory=list)
 
     def matrix(self, batch: pa.RecordBatch) -> np.ndarray:
-        return np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(batch.num_rows, self.width)
+        column = batch.column(0)
+        _, offsets, data = column.buffers()
+        if not batch.num_rows:
+            return np.zeros((0, self.width), np.uint8)
+        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + batch.num_rows + 1]
+        return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].reshape(batch.num_rows, self.width)
 
     def scores(self, batch: pa.RecordBatch, columns: Binned) -> np.ndarray:
         stored = batch.column(4)
