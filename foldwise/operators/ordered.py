@@ -30,7 +30,10 @@ HOT_ROWS = 16_000_000
 EXACT_ROWS = 1 << 18
 SAMPLE_ROWS = 1 << 18
 MOST_SAMPLED = 1 << 24
-ACCURACY = 10_000
+#: Size parameter of quantile sketches, and an upper bound of their rank error at that size.
+SKETCH = 8192
+WIDE_SKETCH = 65_535
+RANK_ERROR = 5e-4
 
 
 def order_number(df: DataFrame, col: str) -> Column:
@@ -48,6 +51,32 @@ def order_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"{col}: {dtype.simpleString()} has no numeric order")
 
 
+def sketched_quantiles(
+    df: DataFrame, wanted: Sequence[tuple[Column, Sequence[float]]], size: int = SKETCH
+) -> tuple[int, list[list[float] | None]]:
+    """The number of rows, and near quantiles of several double columns; None for one without values.
+
+    Every partition builds one mergeable sketch a column. Partitions i^2 to (i+1)^2 - 1 merge in
+    one group, so n partitions make about sqrt(n) groups of at most 2 sqrt(n) sketches each, and
+    the last task merges one sketch a group. NULL and NaN have no rank.
+    """
+    group = F.floor(F.sqrt(F.spark_partition_id())).alias("_group")
+    names = [f"s{i}" for i in range(len(wanted))]
+    groups = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.kll_sketch_agg_double(c.cast("double"), size).alias(n) for n, (c, _) in zip(names, wanted, strict=True)
+    ])
+    merged = groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), *[
+        F.kll_merge_agg_double(n, size).alias(n) for n in names
+    ])
+    row = merged.select("rows", *[
+        F.when(
+            F.kll_sketch_get_n_double(n) > 0,
+            F.kll_sketch_get_quantile_double(n, F.array(*[F.lit(float(p)) for p in probs])),
+        ).alias(n) for n, (_, probs) in zip(names, wanted, strict=True)
+    ]).first()
+    return row["rows"], [row[n] for n in names]
+
+
 def with_chunks(df: DataFrame, order: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """Add an int column, non-decreasing in ``order``, that splits the table in even parts.
 
@@ -57,9 +86,7 @@ def with_chunks(df: DataFrame, order: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """
     number = order_number(df, order)
     probs = [i / PROBE_CUTS for i in range(1, PROBE_CUTS)]
-    total, cuts = df.agg(
-        F.count(F.lit(1)), F.percentile_approx(number, probs, ACCURACY)
-    ).first()
+    total, (cuts,) = sketched_quantiles(df, [(number, probs)])
     chunks = min(MAX_CHUNKS, math.ceil(total / rows))
     if chunks <= 1:
         cuts = []
@@ -68,7 +95,7 @@ def with_chunks(df: DataFrame, order: str, rows: int = CHUNK_ROWS) -> DataFrame:
         cuts = (cuts or [])[step - 1::step]
     else:
         probs = [i / chunks for i in range(1, chunks)]
-        cuts = df.agg(F.percentile_approx(number, probs, 4 * chunks)).first()[0]
+        cuts = sketched_quantiles(df, [(number, probs)], WIDE_SKETCH)[1][0]
     if not cuts:
         return df.withColumn(CHUNK, F.lit(0).alias(CHUNK, metadata={"chunks": 1}))
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
@@ -170,7 +197,7 @@ class Span:
 
     def shares(self, sampled: float) -> list[float]:
         """Quantiles of a sample of ``sampled`` values that should enclose the ranks."""
-        margin = min(0.25, self.slack * (3.0 / ACCURACY + 2.0 / math.sqrt(max(sampled, 1.0))))
+        margin = min(0.25, self.slack * (RANK_ERROR + 2.0 / math.sqrt(max(sampled, 1.0))))
         ends = [(r - self.base) / max(self.inside - 1, 1) for r in (self.ranks[0], self.ranks[-1])]
         return [max(0.0, ends[0] - margin), min(1.0, ends[1] + margin)]
 
@@ -207,13 +234,12 @@ def order_statistics(
         sample = df if part == 1.0 else df.sample(part, seed=trial)
         shares = [span.shares(math.inf if part == 1.0 else part * span.inside) for span in spans]
         trial += 1
-        proposed = sample.agg(*[
-            F.percentile_approx(span.within(cols[span.name]), q, ACCURACY).alias(f"q{i}")
-            for i, (span, q) in enumerate(zip(spans, shares, strict=True))
-        ]).first()
+        _, proposed = sketched_quantiles(
+            sample, [(span.within(cols[span.name]), q) for span, q in zip(spans, shares, strict=True)]
+        )
         brackets = []
         for i, (span, (low, high)) in enumerate(zip(spans, shares, strict=True)):
-            lo, hi = proposed[f"q{i}"] or (span.lo, span.hi)
+            lo, hi = proposed[i] or (span.lo, span.hi)
             brackets.append((lo if low > 0 else span.lo, hi if high < 1 else span.hi))
         tests = {
             f"{tag}{i}": test
@@ -352,7 +378,8 @@ def medians_without_fold(
     part = min(1.0, min(max(most / 100, SAMPLE_ROWS), MOST_SAMPLED) / most)
     shares = {n: Span(n, [whole[n] // 2], whole[n]).shares(part * whole[n]) for n in left}
     sample = df if part == 1.0 else df.sample(part, seed=0)
-    ends = sample.agg(*[F.percentile_approx(cols[n], shares[n], ACCURACY).alias(n) for n in left]).first().asDict()
+    _, found = sketched_quantiles(sample, [(cols[n], shares[n]) for n in left])
+    ends = dict(zip(left, found, strict=True))
     tried = [n for n in left if ends[n]]
     inside = {n: F.when(cols[n].between(F.lit(ends[n][0]), F.lit(ends[n][1])), cols[n]) for n in tried}
     strictly = {n: (cols[n] > F.lit(ends[n][0])) & (cols[n] < F.lit(ends[n][1])) for n in tried}

@@ -5,9 +5,8 @@ Every ordered step is cut in chunks of the order, so one long experiment spreads
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,97 +182,41 @@ def with_code_change(
 # What happens next depends on two bounded counters, crashes (0..1) and outside
 # (0..patience-1), packed in one small state.
 CRASH, RESET, OUTSIDE = 0, 1, 2
+#: Runs whose maps are folded in one array.
+SEGMENT_ROWS = 256
 
 
-def policy_steps(patience: int) -> list[list[tuple[int, str | None]]]:
-    """``steps[state][symbol]`` is the next state and the action, if the symbol does not fix it."""
-    steps = []
+def policy_steps(patience: int) -> list[list[int]]:
+    """``steps[symbol][state]`` is the next state."""
+    crash, reset, outside = [], [], []
     for state in range(2 * patience):
-        crashes, outside = divmod(state, patience)
-        crash = (0, "crash_rollback") if crashes else (patience + outside, "retry")
-        away = (0, "rollback") if outside + 1 >= patience else (state + 1, "warn")
-        steps.append([crash, (0, None), away])
-    return steps
-
-
-def _per_run(patience: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    steps = policy_steps(patience)
-
-    def replay(batches):
-        state = 0
-        for batch in batches:
-            first = batch.column("_first").to_pylist()
-            symbols = batch.column("_symbol").to_pylist()
-            entry = batch.column("_entry").to_pylist()
-            actions, states = [], []
-            for i, symbol in enumerate(symbols):
-                if first[i]:
-                    state = entry[i]
-                state, action = steps[state][symbol]
-                actions.append(action)
-                states.append(state)
-            names = [n for n in batch.schema.names if n not in ("_first", "_symbol", "_entry")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names]
-                + [pa.array(actions, pa.string()), pa.array(states, pa.int32())],
-                names=[*names, "_action", "_state"],
-            )
-
-    return replay
-
-
-def _per_chunk(patience: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Exit state of each chunk for every entry state; rows of a chunk arrive in order."""
-    steps = policy_steps(patience)
-    identity = tuple(range(2 * patience))
-
-    def compose(batches):
-        key, mapping = None, identity
-        known: dict[tuple, tuple] = {}
-        for batch in batches:
-            out = []
-            groups, chunks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            first, symbols = batch.column("_first").to_pylist(), batch.column("_symbol").to_pylist()
-            for i, symbol in enumerate(symbols):
-                if first[i]:
-                    if key is not None:
-                        out.append((*key, list(mapping)))
-                    key, mapping = (groups[i], chunks[i]), identity
-                move = (mapping, symbol)
-                if move not in known:
-                    known[move] = tuple(steps[s][symbol][0] for s in mapping)
-                mapping = known[move]
-            if out:
-                yield _rows(out, batch.schema)
-        if key is not None:
-            yield _rows([(*key, list(mapping))], batch.schema)
-
-    def _rows(rows, schema):
-        columns = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], schema.field(0).type), pa.array(columns[1], pa.int32()),
-             pa.array(columns[2], pa.list_(pa.int32()))],
-            names=[schema.field(0).name, CHUNK, "_map"],
-        )
+        crashes, away = divmod(state, patience)
+        crash.append(0 if crashes else patience + away)
+        reset.append(0)
+        outside.append(0 if away + 1 >= patience else state + 1)
+    return [crash, reset, outside]
 
-    return compose
-
-
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """State in which each chunk of an experiment is entered; one row per (group, chunk)."""
-    last, state = object(), 0
-    for batch in batches:
-        groups, starts = batch.column(0).to_pylist(), batch.column("_start").to_pylist()
-        maps, entry = batch.column("_map").to_pylist(), []
-        for i, group in enumerate(groups):
-            if group != last:
-                last, state = group, starts[i]
-            entry.append(state)
-            state = maps[i][state]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(entry, pa.int32())],
-            names=[batch.schema.field(0).name, CHUNK, "_entry"],
-        )
+
+def _composed(maps: Column, states: int) -> Column:
+    """One map from state to state for an array of them, applied from first to last."""
+    same = F.array(*[F.lit(s) for s in range(states)])
+    return F.aggregate(maps, same, lambda m, step: F.transform(m, lambda s: F.get(step, s)))
+
+
+def _visited(start: Column, maps: Column) -> Column:
+    """The states on the way through an array of maps: ``start`` and the one after each map."""
+    return F.aggregate(
+        maps, F.array(start), lambda seen, step: F.array_append(seen, F.get(step, F.element_at(seen, -1)))
+    )
+
+
+def _entries(df: DataFrame, keys: Sequence[str], parts: str, start: str) -> DataFrame:
+    """``(keys, parts' first field, _entry)``: the state in which each of the ordered ``parts`` is entered."""
+    ways = F.arrays_zip(F.col(parts).alias("part"), _visited(F.col(start), F.col(f"{parts}._map")).alias("state"))
+    # There is one state more than parts: the exit.
+    return df.select(*keys, F.explode(ways).alias("x")).where("x.part is not null").select(
+        *keys, "x.part.*", F.col("x.state").alias("_entry")
+    ).drop("_map")
 
 
 def replay_policy(
@@ -287,9 +230,11 @@ def replay_policy(
     ``state`` may give ``(group, best, crashes, outside)`` to continue from.
 
     The best score before a run is a running maximum. The counters are a small state machine:
-    a chunk is a map from entry state to exit state, the maps of an experiment are chained,
-    and every chunk is then replayed from its own entry state. Rows stream through a task in
-    order, so a long experiment neither fills memory nor stays in one task.
+    a segment of ``SEGMENT_ROWS`` runs is a map from entry state to exit state, folded from its
+    runs' maps. The maps of a chunk are folded in turn, the chunks of an experiment are chained,
+    and states are handed down again: to chunks, to segments, to runs. So no array holds more
+    than a segment's rows, a chunk's segments or an experiment's chunks, and a long experiment
+    spreads over tasks. Runs without an order come first or last in it; equal ones in any order.
     """
     if state is not None:
         known = state.select(
@@ -303,45 +248,45 @@ def replay_policy(
     runs = chunked(runs, order, rows)
     runs = with_improved(runs, F.coalesce(F.col("_best"), F.lit(float(seed))), group, order)
     gap = F.col("best_before") - F.col("score")
-    inside = Window.partitionBy(group, CHUNK).orderBy(order)
-    runs = runs.withColumns({
-        "_symbol": F.when(F.col("score").isNull(), CRASH)
-        .when(F.col("improved") | (gap <= margin), RESET).otherwise(OUTSIDE),
-        "_first": F.row_number().over(inside) == 1,
-    })
-    keys = [group, CHUNK]
-    if chunk_count(runs) == 1:
-        runs = runs.withColumn("_entry", F.col("_start"))
-    else:
-        runs = materialise(runs)
-        id_type = runs.schema[group].dataType.simpleString()
-        maps = (
-            runs.select(*keys, order, "_first", "_symbol").repartition(*keys)
-            .sortWithinPartitions(*keys, order)
-            .mapInArrow(_per_chunk(patience), f"`{group}` {id_type}, {CHUNK} int, _map array<int>")
-        )
-        starts = runs.groupBy(*keys).agg(F.first("_start").alias("_start"))
-        entries = (
-            join_null_safe(maps, starts, keys).select(*keys, "_start", "_map").repartition(group)
-            .sortWithinPartitions(*keys)
-            .mapInArrow(_entries, f"`{group}` {id_type}, {CHUNK} int, _entry int")
-        )
-        runs = join_null_safe(runs, entries, keys)
-    runs = runs.drop("_best", "_start")
-    kept = [f for f in runs.schema.fields if f.name not in ("_first", "_symbol", "_entry")]
-    schema = T.StructType([
-        *kept, T.StructField("_action", T.StringType()), T.StructField("_state", T.IntegerType())
-    ])
-    out = (
-        runs.repartition(*keys).sortWithinPartitions(*keys, order)
-        .mapInArrow(_per_run(patience), schema)
+    kept = [c for c in runs.columns if c not in (CHUNK, "_best", "_start")]
+    keys, states = [group, CHUNK], 2 * patience
+    steps = F.array(*[F.array(*map(F.lit, to)) for to in policy_steps(patience)])
+    at = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    symbol = (
+        F.when(F.col("score").isNull(), CRASH)
+        .when(F.col("improved") | (gap <= margin), RESET).otherwise(OUTSIDE)
     )
-    fixed = F.when(F.col("improved"), "commit").otherwise("explore")
+    rows_of = F.collect_list(F.struct("_at", "_symbol", F.struct(*kept).alias("row")))
+    segments = (
+        runs.withColumns({"_at": at, "_symbol": symbol})
+        .groupBy(*keys, F.floor((F.col("_at") - 1) / SEGMENT_ROWS).cast("int").alias("_segment"))
+        .agg(F.array_sort(rows_of, lambda a, b: a["_at"] - b["_at"]).alias("_rows"), F.first("_start").alias("_start"))
+    )
+    maps = F.transform("_rows", lambda r: F.get(steps, r["_symbol"]))
+    segments = materialise(segments.withColumn("_map", _composed(maps, states)))
+    chunks = segments.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_segment", "_map"))).alias("_parts"), F.first("_start").alias("_entry")
+    )
+    if chunk_count(runs) > 1:
+        chunks = materialise(chunks.withColumn("_map", _composed(F.col("_parts._map"), states)))
+        chains = chunks.groupBy(group).agg(
+            F.array_sort(F.collect_list(F.struct(CHUNK, "_map"))).alias("_parts"), F.first("_entry").alias("_start")
+        )
+        chunks = join_null_safe(chunks.drop("_entry", "_map"), _entries(chains, [group], "_parts", "_start"), keys)
+    entries = _entries(chunks, keys, "_parts", "_entry")
+    entered = join_null_safe(segments, entries, [*keys, "_segment"])
+    after = F.slice(_visited(F.col("_entry"), maps), F.lit(2), F.size("_rows"))
+    out = entered.select(
+        F.explode(F.arrays_zip(F.col("_rows").alias("of"), after.alias("state"))).alias("x")
+    ).select("x.of.row.*", F.col("x.of._symbol").alias("_symbol"), F.col("x.state").alias("_state"))
+    cleared = F.col("_state") == 0
     return out.withColumns({
-        "action": F.coalesce(F.col("_action"), fixed),
+        "action": F.when(F.col("_symbol") == CRASH, F.when(cleared, "crash_rollback").otherwise("retry"))
+        .when(F.col("_symbol") == OUTSIDE, F.when(cleared, "rollback").otherwise("warn"))
+        .when(F.col("improved"), "commit").otherwise("explore"),
         "crashes": F.floor(F.col("_state") / patience).cast("int"),
         "outside": (F.col("_state") % patience).cast("int"),
-    }).drop("_action", "_state", CHUNK)
+    }).drop("_symbol", "_state")
 
 
 def final_state(
