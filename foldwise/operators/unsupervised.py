@@ -7,14 +7,23 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import (
+    PCA, CountVectorizer, CountVectorizerModel, HashingTF, RegexTokenizer, StopWordsRemover, VectorAssembler,
+)
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.operators.products import leading_singular
+from foldwise.operators.registry import vector_width
+
 SEED = 42
+NARROW = 4096
+#: The most terms with a topic weight of their own, and the shared weights of all further terms.
+OWN_TERMS = 1 << 18
+SHARED_TERMS = 1 << 14
 VECTOR = "features"
 
 
@@ -45,19 +54,28 @@ def principal_components(df: DataFrame, k: int):
 
 
 def singular_values(df: DataFrame, k: int) -> list[float]:
-    """Leading singular values of the uncentred rows."""
+    """Leading singular values of the uncentred rows.
+
+    Up to ``NARROW`` features MLlib finds them; wider rows go by a random range, without a square
+    of the features on the driver.
+    """
+    width = vector_width(df)
+    if width > NARROW:
+        return leading_singular(df, VECTOR, k, width)[0].tolist()
     return RowMatrix(MLUtils.convertVectorColumnsFromML(df.select(VECTOR), VECTOR)).computeSVD(k).s.toArray().tolist()
 
 
 def topics(
     df: DataFrame, text: str, k: int, vocabulary: int | None = 2000, iterations: int = 10,
-    stop_words: Sequence[str] = (), min_docs: float = 1.0,
+    stop_words: Sequence[str] = (), min_docs: float = 1.0, own: int = OWN_TERMS, shared: int = SHARED_TERMS,
 ):
     """Topic model of a text column: ``(pipeline model, frame with topicDistribution)``.
 
     The ``vocabulary`` most frequent terms that ``min_docs`` documents or more hold take part, None:
-    all of them, by a count of terms. The topics are a matrix of that size on the driver. Every
-    iteration passes over all documents.
+    all of them, by a count of terms. Where all are over ``own`` terms, the ``own`` most frequent ones
+    (ties by name) keep a weight each and the others share ``shared`` weights by their hash, so the
+    topics, a matrix on the driver, have at most ``own + shared`` columns. Every iteration passes
+    over all documents.
     """
     words = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\W+", minTokenLength=2),
@@ -66,25 +84,41 @@ def topics(
             stopWords=list(stop_words) or StopWordsRemover.loadDefaultStopWords("english"),
         ),
     ]
+    lda = LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online", subsamplingRate=1.0)
+    counter = [CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary or own, minDF=min_docs)]
     if vocabulary is None:
-        terms = Pipeline(stages=words).fit(df).transform(df).select(F.explode("_words").alias("term"))
-        vocabulary = max(1, terms.distinct().count())
-    stages = [
-        *words,
-        CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary, minDF=min_docs),
-        LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online", subsamplingRate=1.0),
-    ]
+        split = Pipeline(stages=words).fit(df).transform(df)
+        if split.select(F.explode("_words").alias("term")).distinct().count() > own:
+            counter = _own_and_shared(split, own, shared, min_docs)
+    stages = [*words, *counter, lda]
     model = Pipeline(stages=stages).fit(df)
     return model, model.transform(df)
 
 
+def _own_and_shared(split: DataFrame, own: int, shared: int, min_docs: float) -> list:
+    """Stages that count the most frequent terms by name and the rest by hash, in one vector."""
+    held = F.explode(F.array_distinct("_words"))
+    docs = split.select(held.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    often = split.select(F.explode("_words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    least = min_docs if min_docs >= 1.0 else min_docs * split.count()
+    kept = often.join(docs.where(F.col("docs") >= least), "term").orderBy(F.desc("n"), "term").limit(own)
+    terms = [r["term"] for r in kept.select("term").collect()]
+    return [
+        CountVectorizerModel.from_vocabulary(terms, inputCol="_words", outputCol="_own"),
+        StopWordsRemover(inputCol="_words", outputCol="_others", stopWords=terms, caseSensitive=True),
+        HashingTF(inputCol="_others", outputCol="_shared", numFeatures=shared),
+        VectorAssembler(inputCols=["_own", "_shared"], outputCol=VECTOR),
+    ]
+
+
 def describe_topics(model, words: int = 10) -> DataFrame:
-    """``(topic, rank, term, weight)`` of the heaviest terms."""
-    counts, lda = model.stages[-2], model.stages[-1]
+    """``(topic, rank, term, weight)`` of the heaviest terms; ``#i`` is the i-th weight that terms share."""
+    counts = next(s for s in model.stages if isinstance(s, CountVectorizerModel))
+    lda = model.stages[-1]
     found = lda.describeTopics(words)
     used = sorted({i for r in found.collect() for i in r.termIndices})
     terms = counts.vocabulary
-    names = F.create_map(*[F.lit(x) for i in used for x in (i, terms[i])])
+    names = F.create_map(*[F.lit(x) for i in used for x in (i, terms[i] if i < len(terms) else f"#{i - len(terms)}")])
     pairs = F.posexplode(F.arrays_zip("termIndices", "termWeights"))
     return found.select("topic", pairs.alias("rank", "x")).select(
         "topic", "rank", F.element_at(names, F.col("x.termIndices")).alias("term"),
