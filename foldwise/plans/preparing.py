@@ -451,3 +451,33 @@ s AS (SELECT held, covar_pop(y, x) * count(*) / (var_pop(x) * count(*) + {ALPHA}
 m AS (SELECT held, w, my - w * mx AS b FROM s)
 SELECT fold, round(any_value(w), 4) AS slope, round(any_value(b), 3) AS intercept,
   round(avg((y - (w * x + b)) ** 2), 0) AS mse FROM f JOIN m ON held = fold GROUP BY fold"""
+
+
+PENALTIES = (0.1, 1.0, 10.0, 100.0, 1000.0)
+
+
+def ridge_penalties(spark: SparkSession, sf: str) -> DataFrame:
+    """Price on quantity and discount: every fold and penalty from one scan, with held-out MSE."""
+    from foldwise.operators.products import ridge_path
+
+    lines = folds.kfold(lineitem(spark, sf), F.col("key"))
+    out = ridge_path(lines, ["l_quantity", "l_discount"], "l_extendedprice", PENALTIES)
+    return out.select(
+        "fold", "alpha", F.round(F.get("weights", F.lit(0)), 4).alias("by_quantity"),
+        F.round(F.get("weights", F.lit(1)), 2).alias("by_discount"), F.round("mse", 0).alias("mse"),
+    )
+
+
+QUERIES["ridge_penalties"] = ridge_penalties
+ORACLE["ridge_penalties"] = f"""WITH f AS (
+  SELECT {sql_fold(LINE_KEY)} AS fold, l_quantity AS x, l_discount AS z, l_extendedprice AS y FROM lineitem
+  WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL AND l_extendedprice IS NOT NULL),
+a AS (SELECT unnest([{', '.join(map(str, PENALTIES))}])::DOUBLE AS alpha),
+s AS (SELECT held, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, var_pop(x) * count(*) AS xx, var_pop(z) * count(*) AS zz,
+        covar_pop(x, z) * count(*) AS xz, covar_pop(x, y) * count(*) AS xy, covar_pop(z, y) * count(*) AS zy
+      FROM (SELECT DISTINCT fold AS held FROM f) JOIN f ON f.fold <> held GROUP BY held),
+w AS (SELECT held, alpha, mx, mz, my, (xy * (zz + alpha) - zy * xz) / ((xx + alpha) * (zz + alpha) - xz * xz) AS u,
+        (zy * (xx + alpha) - xy * xz) / ((xx + alpha) * (zz + alpha) - xz * xz) AS v FROM s, a)
+SELECT fold, alpha, round(any_value(u), 4) AS by_quantity, round(any_value(v), 2) AS by_discount,
+  round(avg((y - my - u * (x - mx) - v * (z - mz)) ** 2), 0) AS mse
+FROM f JOIN w ON held = fold GROUP BY fold, alpha"""
