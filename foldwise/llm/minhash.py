@@ -1,4 +1,8 @@
-"""Near-duplicates by word-shingle Jaccard: MinHash bands find candidates, the exact similarity confirms them."""
+"""Near-duplicates by word-shingle Jaccard.
+
+SimHash fingerprints, joined by pigeonring filtering, and MinHash bands for what is further than
+their few bits find candidates; the exact similarity confirms them.
+"""
 
 from __future__ import annotations
 
@@ -14,10 +18,12 @@ from pyspark.sql.types import ArrayType, LongType
 
 from foldwise.llm.common import materialise
 from foldwise.llm.components import components
-from foldwise.llm.simhash import shingles
+from foldwise.llm.simhash import links, majority, shingles
 
 #: Texts this similar, by their sets of shingles, are copies.
 SIMILARITY = 0.8
+#: Bits that fingerprints of candidates may differ in.
+DISTANCE = 3
 #: Bands of minima: a pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 5) ** 16 = 0.0017.
 BANDS, ROWS = 16, 5
 #: Shingles whose permutations are computed at once (640 bytes each).
@@ -51,21 +57,23 @@ def bands(hashes: list[int], seed: int) -> list[int]:
 
 
 def signatures(docs: DataFrame, keep: list[str], words: int, seed: int) -> DataFrame:
-    """``keep`` columns of every row of ``docs``, the digest ``node`` of its words and its ``bands``."""
+    """``keep`` columns of every row of ``docs``, the digest ``node`` of its words, its fingerprint ``fp`` and its ``bands``."""
     source = docs.select(*keep, F.col("text").alias("__text"))
-    schema = docs.select(*keep).schema.add("node", "binary").add("bands", ArrayType(LongType()))
+    schema = docs.select(*keep).schema.add("node", "binary").add("fp", "long").add("bands", ArrayType(LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, fps, keys = [], [], []
             for t in batch.column(batch.num_columns - 1):
                 text = t.as_py()
                 found = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
                 nodes.append(hashlib.md5(found).digest())
-                keys.append(bands(shingles(text, words, seed), seed))
+                hashes = shingles(text, words, seed)
+                fps.append(majority(hashes))
+                keys.append(bands(hashes, seed))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                [*batch.schema.names[:-1], "node", "bands"],
+                [*batch.columns[:-1], pa.array(nodes, pa.binary()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                [*batch.schema.names[:-1], "node", "fp", "bands"],
             )
 
     return source.mapInArrow(run, schema)
@@ -147,11 +155,27 @@ def crossed(rooted: DataFrame, texts: DataFrame, words: int, similarity: float,
     return dealt.groupBy(*PIECE).applyInArrow(run, "a binary, b binary").distinct()
 
 
+def fingerprinted(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs a < b of ``classes`` (node, fp): every one and the choice of its component of fingerprints.
+
+    Fingerprints link at ``distance`` or fewer differing bits, as in :func:`simhash.near_duplicates`.
+    """
+    fps = materialise(classes.groupBy("fp").agg(F.min("node").alias("least")))
+    roots = components(links(fps.select("fp"), distance)).withColumnRenamed("node", "fp")
+    rooted = materialise(
+        fps.join(roots.hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    )
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("a"))
+    named = rooted.join(chosen.hint("merge"), "root").select("fp", "a")
+    return classes.select(F.col("node").alias("b"), "fp").join(named.hint("merge"), "fp").where("a < b").select("a", "b")
+
+
 def neighbours(classes: DataFrame, texts, words: int, similarity: float, seed: int) -> DataFrame:
-    """node, root of all ``classes`` (node, bands) that share a band; ``texts`` gives node, bands and text of a frame of nodes.
+    """node, root of all ``classes`` (node, fp, bands) that are linked; ``texts`` gives node, bands and text of a frame of nodes.
 
-    First every class of a bucket is held against one of it, another in each band, so that a large
-    group of copies costs a pair a copy and band. Then what is not yet joined to its bucket's
+    First every class is held against the choice of its component of fingerprints, and every class of
+    a bucket against one of it, another in each band, so that a large group of copies costs a pair a
+    copy and band. Then what is not yet joined to its bucket's
     choice is held against all classes of the bucket in other components, so no pair is left out;
     the components that this links are contracted as they are, not from their members anew.
     """
@@ -164,8 +188,10 @@ def neighbours(classes: DataFrame, texts, words: int, similarity: float, seed: i
     members = materialise(keyed.join(many.hint("merge"), ["band", "key"]))
     stars = members.where("node <> chosen").select(
         F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")
-    ).distinct()
-    held = materialise(texts(members.select("node").distinct()))
+    )
+    stars = materialise(stars.unionByName(fingerprinted(classes)).distinct())
+    asked = members.select("node").unionByName(stars.selectExpr("inline(array(struct(a AS node), struct(b AS node)))"))
+    held = materialise(texts(asked.distinct()))
     linked = materialise(confirmed(stars, held, words, similarity, seed))
     roots = components(linked)
     of = lambda name, root: roots.select(F.col("node").alias(name), F.col("root").alias(root)).hint("merge")
@@ -173,7 +199,7 @@ def neighbours(classes: DataFrame, texts, words: int, similarity: float, seed: i
         members.join(of("node", "r"), "node", "left").join(of("chosen", "c"), "chosen", "left")
         .select("band", "key", "node", F.coalesce("r", "node").alias("root"), F.coalesce("c", "chosen").alias("main"))
     )
-    found = rooted.select("node", "root").distinct()
+    found = rooted.select("node", "root").unionByName(roots.select("node", "root")).distinct()
     further = components(crossed(rooted, held, words, similarity, seed))
     last = further.select(F.col("node").alias("root"), F.col("root").alias("last")).hint("merge")
     return found.join(last, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
@@ -185,12 +211,13 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = SIMILARITY,
     Of a component the row of the least (doc_id, words, row) stays, so a repeated id with different
     texts is judged text by text. Words and shingles are those of :func:`simhash.fingerprints`; all
     texts without words are alike. Rows without an id can't be named, so they stay and stand for no
-    group. Candidates share one of BANDS keys of ROWS minima; each link is confirmed exactly.
+    group. Candidates have fingerprints within DISTANCE bits, or share one of BANDS keys of ROWS minima,
+    which reach what SimHash does not; each link is confirmed exactly.
     """
     named = docs.where("doc_id IS NOT NULL").withColumn("__row", F.xxhash64(*docs.columns))
     marked = materialise(signatures(named, ["doc_id", "__row"], words, seed))
     classes = materialise(
-        marked.groupBy("node").agg(F.first("bands").alias("bands"), F.min(F.struct("doc_id", "node", "__row")).alias("least"))
+        marked.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct("doc_id", "node", "__row")).alias("least"))
     )
 
     def texts(nodes: DataFrame) -> DataFrame:

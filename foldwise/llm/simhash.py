@@ -36,7 +36,11 @@ def shingles(text: str | None, words: int, seed: int) -> list[int]:
 
 def fingerprint(text: str | None, words: int, seed: int) -> int:
     """A text's fingerprint as a signed 64-bit number; no words (or a NULL text): zero."""
-    hashes = shingles(text, words, seed)
+    return majority(shingles(text, words, seed))
+
+
+def majority(hashes: list[int]) -> int:
+    """The bits that more than half of the hashes have, as a signed 64-bit number; no hashes: zero."""
     if not hashes:
         return 0
     values = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)

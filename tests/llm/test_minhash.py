@@ -47,3 +47,20 @@ def test_repeated_id_with_two_texts_is_judged_text_by_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.near_dedup(spark, docs.repartition(3), "").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([(0, two), (1, one), (1, two), (3, "")])
+
+
+def test_fingerprints_link_copies_that_share_no_band(spark, monkeypatch):
+    from foldwise.llm import minhash
+
+    base = [f"w{i}" for i in range(400)]
+    one, bits = " ".join(base), 0
+    for i in range(200):  # a tail that turns a few bits
+        two = f"{one} tail{i} end{i}"
+        bits = ((simhash.fingerprint(one, 5, 42) ^ simhash.fingerprint(two, 5, 42)) & (2**64 - 1)).bit_count()
+        if 1 <= bits <= 3:
+            break
+    assert 1 <= bits <= 3
+    rows = [(1, one), (2, two), (3, " ".join(f"x{i}" for i in range(400)))]
+    monkeypatch.setattr(minhash, "bands", lambda hashes, seed: [])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in minhash.one_of_each(docs).collect()) == [1, 3]
