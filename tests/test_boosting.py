@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from foldwise.operators import boosting
@@ -142,3 +143,17 @@ def test_growth_stops_early_and_edge_tables(spark, data):
         Settings(bins=1)
     shares = Boosted(Settings(rounds=2, depth=2), 2).fit(frame(spark, x, y)).featureImportances.toArray()
     assert shares.sum() == pytest.approx(1) and (shares >= 0).all()
+
+
+def test_rows_are_passed_in_blocks_to_a_task_a_core(spark):
+    rows = [(Vectors.dense([float(i % 7), float(i)]), float(i % 2)) for i in range(300)]
+    df = spark.createDataFrame(rows, ["features", "label"]).repartition(40)
+    found = boosting.binned(df, [np.array([2.0, 4.0]), np.array([100.0])], "label", None)
+    held = [boosting.Block(r.asDict(), 2) for r in found.collect()]
+    assert len(held) <= 40 and sum(len(x.y) for x in held) == 300
+    assert sorted(map(tuple, np.vstack([x.bins for x in held]).tolist())) == sorted(
+        ((i % 7 > 2) + (i % 7 > 4), int(i > 100)) for i in range(300)
+    )
+    cores = spark.sparkContext.defaultParallelism
+    assert boosting.shared_out(found, 600).rdd.getNumPartitions() == min(cores, 40)
+    assert boosting.shared_out(found, 60 * boosting.SHARE).rdd.getNumPartitions() == 40
