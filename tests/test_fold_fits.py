@@ -77,3 +77,19 @@ def test_a_failing_preparation_is_a_row_of_errors(spark):
     p = evaluate.Prepared(df, "y", "classification", ["missing"], [], [], [0, 1], 2)
     rows = evaluate.leaderboard(p, ["ridge", "tree"]).collect()
     assert sorted(r.model for r in rows) == ["ridge", "tree"] and all(r.error for r in rows)
+
+
+def test_fits_have_tasks_by_rows_not_by_shuffle_partitions(spark, monkeypatch):
+    df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), (F.col("id") / 7).alias("x"))
+    most = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        small = evaluate.prepare(df, "y", F.col("k"), "classification", 3, drop=["k"])
+        monkeypatch.setattr(evaluate, "CELLS", 300)
+        split = evaluate.prepare(df, "y", F.col("k"), "classification", 3, drop=["k"])
+        monkeypatch.setattr(evaluate, "CELLS", 3)
+        bound = evaluate.prepare(df, "y", F.col("k"), "classification", 3, drop=["k"])
+        assert [p.frame.rdd.getNumPartitions() for p in (small, split, bound)] == [1, 10, 40]
+        assert {tuple(r) for r in small.frame.collect()} == {tuple(r) for r in bound.frame.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", most)
