@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from foldwise.operators import evaluate, folds, preprocess
+from foldwise.operators import evaluate, folds, ordered, preprocess, tuning
 
 FOLDS = range(4)
 
@@ -93,3 +93,43 @@ def test_fits_have_tasks_by_rows_not_by_shuffle_partitions(spark, monkeypatch):
         assert {tuple(r) for r in small.frame.collect()} == {tuple(r) for r in bound.frame.collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", most)
+
+
+def test_tied_medians_read_no_rows(spark, monkeypatch):
+    """Ties at a bracket's ends are counted, whatever their number; only values between are read."""
+    df = folds.kfold(spark.range(5000).select("id", (F.col("id") % 3).cast("double").alias("x")), F.col("id"), 4)
+    counts = {r["fold"]: {"x": r["n"]} for r in folds.fold_sizes(df).collect()}
+
+    def no_reading(*_):
+        raise AssertionError("rows were read off")
+
+    monkeypatch.setattr(ordered, "_read_off_by_fold", no_reading)
+    found = ordered.medians_without_fold(df, {"x": F.col("x")}, "fold", counts, range(4), exact_rows=100)
+    for i in range(4):
+        assert found["x"][i] == df.where(F.col("fold") != i).agg(F.percentile("x", 0.5)).first()[0]
+
+
+def test_one_metric_is_scored_without_the_others(spark, monkeypatch):
+    rows = [(i % 2, float(i % 2), float(i % 3 > 0), (i % 7) / 7, [1 - (i % 7) / 7, (i % 7) / 7]) for i in range(60)]
+    oof = spark.createDataFrame(rows, "fold int, label double, prediction double, score double, probabilities array<double>")
+    p = evaluate.Prepared(oof, "y", "classification", [], [], [], [0, 1], 2)
+    every = {tuple(r) for r in evaluate.scores_of(p, oof).collect()}
+
+    def unwanted(*_, **__):
+        raise AssertionError("a metric that nobody asked for")
+
+    monkeypatch.setattr(evaluate.metrics, "log_loss", unwanted)
+    for metric, other in (("accuracy", "roc_auc"), ("f1", "roc_auc"), ("roc_auc", "binary_counts")):
+        with monkeypatch.context() as m:
+            m.setattr(evaluate.metrics, other, unwanted)
+            found = {tuple(r) for r in evaluate.scores_of(p, oof, only=metric).collect()}
+        assert found == {r for r in every if r[1] == metric}
+
+
+def test_search_takes_a_fitted_preparation(spark, monkeypatch):
+    df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), (F.col("id") / 7).alias("x"))
+    p = evaluate.prepare(df, "y", F.col("k"), "classification", 2, drop=["k"])
+    fitted = evaluate.fit_by_fold(p)
+    monkeypatch.setattr(tuning, "fit_by_fold", lambda _: pytest.fail("fitted again"))
+    found = tuning.search(p, "tree", 1, space={"maxDepth": ("int", 2, 2)}, fitted=fitted).first()
+    assert found["status"] == "ok"
