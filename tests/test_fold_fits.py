@@ -133,3 +133,13 @@ def test_search_takes_a_fitted_preparation(spark, monkeypatch):
     monkeypatch.setattr(tuning, "fit_by_fold", lambda _: pytest.fail("fitted again"))
     found = tuning.search(p, "tree", 1, space={"maxDepth": ("int", 2, 2)}, fitted=fitted).first()
     assert found["status"] == "ok"
+
+
+def test_whole_table_preparation_comes_from_the_moments_of_the_folds(spark):
+    df = folds.kfold(frame(spark, "hash").withColumnRenamed("id", "key").drop("fold"), F.col("key"), 3).withColumn("label", F.col("x"))
+    p = evaluate.Prepared(df, "y", "regression", ["x", "tie", "gap", "none"], ["word"], [], [], 3)
+    plain = Pipeline(stages=evaluate.preparation(p)).fit(df)
+    (stages,) = evaluate.fit_by_fold(p, [evaluate.NO_FOLD])
+    whole = Pipeline(stages=evaluate.preparation(p, fitted=stages)).fit(df)
+    got, want = (m.transform(df).orderBy("key").select("features").collect() for m in (whole, plain))
+    assert all(g.features.toArray() == pytest.approx(w.features.toArray()) for g, w in zip(got, want, strict=True))
