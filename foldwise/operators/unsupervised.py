@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from foldwise.operators.products import leading_singular
 from foldwise.operators.registry import vector_width
+from foldwise.session import materialise
 
 SEED = 42
 NARROW = 4096
@@ -74,8 +75,8 @@ def topics(
     The ``vocabulary`` most frequent terms that ``min_docs`` documents or more hold take part, None:
     all of them, by a count of terms. Where all are over ``own`` terms, the ``own`` most frequent ones
     (ties by name) keep a weight each and the others share ``shared`` weights by their hash, so the
-    topics, a matrix on the driver, have at most ``own + shared`` columns. Every iteration passes
-    over all documents.
+    topics, a matrix on the driver, have at most ``own + shared`` columns. Texts are split
+    and counted once, and every iteration passes over the written counts.
     """
     words = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\W+", minTokenLength=2),
@@ -84,25 +85,27 @@ def topics(
             stopWords=list(stop_words) or StopWordsRemover.loadDefaultStopWords("english"),
         ),
     ]
-    lda = LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online", subsamplingRate=1.0)
+    prepared = Pipeline(stages=words).fit(df)
+    split = materialise(prepared.transform(df).select("_words"))
     counter = [CountVectorizer(inputCol="_words", outputCol=VECTOR, vocabSize=vocabulary or own, minDF=min_docs)]
     if vocabulary is None:
-        split = Pipeline(stages=words).fit(df).transform(df)
-        if split.select(F.explode("_words").alias("term")).distinct().count() > own:
-            counter = _own_and_shared(split, own, shared, min_docs)
-    stages = [*words, *counter, lda]
-    model = Pipeline(stages=stages).fit(df)
+        often = materialise(split.select(F.explode("_words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+        if often.count() > own:
+            counter = _own_and_shared(split, often, own, shared, min_docs)
+    counted = Pipeline(stages=counter).fit(split)
+    vectors = materialise(counted.transform(split).select(VECTOR))
+    lda = LDA(k=k, maxIter=iterations, seed=SEED, featuresCol=VECTOR, optimizer="online", subsamplingRate=1.0)
+    model = PipelineModel([*prepared.stages, *counted.stages, lda.fit(vectors)])
     return model, model.transform(df)
 
 
-def _own_and_shared(split: DataFrame, own: int, shared: int, min_docs: float) -> list:
+def _own_and_shared(split: DataFrame, often: DataFrame, own: int, shared: int, min_docs: float) -> list:
     """Stages that count the most frequent terms by name and the rest by hash, in one vector."""
-    held = F.explode(F.array_distinct("_words"))
-    docs = split.select(held.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
-    often = split.select(F.explode("_words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     least = min_docs if min_docs >= 1.0 else min_docs * split.count()
-    kept = often.join(docs.where(F.col("docs") >= least), "term").orderBy(F.desc("n"), "term").limit(own)
-    terms = [r["term"] for r in kept.select("term").collect()]
+    if least > 1:  # every counted term is in one document
+        docs = split.select(F.explode(F.array_distinct("_words")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+        often = often.join(docs.where(F.col("docs") >= least), "term")
+    terms = [r["term"] for r in often.orderBy(F.desc("n"), "term").limit(own).select("term").collect()]
     return [
         CountVectorizerModel.from_vocabulary(terms, inputCol="_words", outputCol="_own"),
         StopWordsRemover(inputCol="_words", outputCol="_others", stopWords=terms, caseSensitive=True),

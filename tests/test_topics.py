@@ -1,5 +1,7 @@
 """Topics are learnt from every document and every term."""
 
+from pyspark.sql import functions as F
+
 from foldwise.operators import unsupervised
 from foldwise.plans import models
 
@@ -16,3 +18,15 @@ def test_topics_count_their_terms_and_read_all_documents(spark):
 def test_topic_terms_leave_out_stop_words_of_all_languages(spark, folder):
     rows = models.topic_terms(spark, folder).collect()
     assert len(rows) == 32 and not {r.term for r in rows} & {"der", "und", "les", "que", "the"}
+
+
+def test_texts_are_split_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = spark.range(300).select(F.udf(seen, "string")(F.concat(F.lit("word"), "id")).alias("text"))
+    unsupervised.topics(docs, "text", 2, None, 2, own=100, shared=16)
+    assert read.value == 300
