@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foldwise.operators.ordered import CHUNK
 from foldwise.plans.fixtures import runs
 from foldwise.plans.runlogs import BASE, ORACLE as BATCH_ORACLE
-from foldwise.session import scratch_path
+from foldwise.session import materialise, scratch_path
 from foldwise.streaming.policy import read_actions, replay_stream
 
 QUERIES, ORACLE = {}, {}
@@ -19,7 +19,8 @@ ARRIVALS = 4
 def run_policy_stream(spark: SparkSession, sf: str) -> DataFrame:
     """All runs arrive in four rounds of files; the stream resumes from its checkpoint each time."""
     base = scratch_path(spark, "stream")
-    log = runs(spark, sf).drop(CHUNK)
+    # Numbered once: every round reads it.
+    log = materialise(runs(spark, sf).drop(CHUNK))
     last = log.agg(F.max("iteration")).first()[0]
     step = -(-last // ARRIVALS)
     for i in range(ARRIVALS):

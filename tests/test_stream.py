@@ -97,3 +97,23 @@ def test_sketches_merge_in_groups_within_their_rank_error(spark, parts):
 
 def test_sketches_of_an_empty_table(spark):
     assert ordered.sketched_quantiles(spark.range(0), [(F.col("id"), [0.5])]) == (0, [None])
+
+
+def test_the_log_is_numbered_once(spark, folder, monkeypatch):
+    from foldwise.plans import streams
+
+    read = spark.sparkContext.accumulator(0)
+    few = hot_runs(spark).where("experiment < 3 AND iteration < 70")
+
+    def seen(i):
+        read.add(1)
+        return i
+
+    def counted_runs(spark, sf):
+        kept = few.withColumn("event_id", F.col("iteration"))
+        kept = kept.withColumn("iteration", F.udf(seen, "bigint")(F.col("iteration") + 1))
+        return kept.withColumn(ordered.CHUNK, F.lit(0))
+
+    monkeypatch.setattr(streams, "runs", counted_runs)
+    assert streams.run_policy_stream(spark, folder).count() == few.count()
+    assert read.value == few.count()
