@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,12 +27,27 @@ NARROW = 4096
 OWN_TERMS = 1 << 18
 SHARED_TERMS = 1 << 14
 VECTOR = "features"
+#: Rows that are worth a task of their own, and the most numbers of vectors in one.
+TASK_ROWS = 512
+TASK_CELLS = 1 << 24
 
 
 def as_vector(df: DataFrame, array: str, vector: str = VECTOR) -> DataFrame:
     return df.withColumn(vector, array_to_vector(F.col(array).cast("array<double>")))
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """The rows, written once and dealt by ``key`` to one task a core, or to more where they are many.
+
+    Clusterings pass over the rows up to a hundred times, so a table whose file gives one partition would keep
+    one core busy. The rows are written and not persisted, because MLlib keeps plain vectors of its own
+    only where its input is not persisted, and otherwise reads every vector anew in each pass.
+    """
+    rows, width = df.count(), vector_width(df)
+    tasks = max(min(df.sparkSession.sparkContext.defaultParallelism, rows // TASK_ROWS), math.ceil(rows * width / TASK_CELLS), 1)
+    return materialise(df.repartition(tasks, key).sortWithinPartitions(key))
+
+
 CLUSTERERS = {
     "kmeans": lambda k: KMeans(k=k, seed=SEED, featuresCol=VECTOR),
     "bisecting": lambda k: BisectingKMeans(k=k, seed=SEED, featuresCol=VECTOR),
