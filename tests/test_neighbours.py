@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foldwise.operators import neighbours
 from foldwise.operators.neighbours import digamma, mutual_information_nearest
+from foldwise.operators.ordered import chunk_carry
 
 
 def psi(n):
@@ -52,3 +54,32 @@ def test_digamma_and_edges(spark):
     assert mutual_information_nearest(df.limit(0), ["x"], "y").first().mi == 0.0
     same = spark.createDataFrame([("a", 1.0)] * 5 + [("b", 1.0)] * 5, "x string, y double")
     assert mutual_information_nearest(same, ["x"], "y").first().mi == pytest.approx(max(0, psi(3) - psi(5)), abs=1e-9)
+
+
+@pytest.mark.parametrize("chunk,ends", [(400, 1 << 17), (400, 0), (90, 1 << 17), (90, 50)])
+def test_borders_of_chunks_are_finished_exactly(spark, chunk, ends):
+    rng = random.Random(chunk)
+    rows = []
+    for _ in range(2500):
+        x = rng.choice("aaaaaaaabbbbc")
+        y = {"a": 0, "b": 20, "c": 40}[x] + (rng.choice([0.0, rng.randint(-9, 9)]) if rng.random() < 0.1 else round(rng.gauss(0, 4) * 65536) / 65536)
+        rows.append((x, rng.choice("pppq"), float(y)))
+    df = spark.createDataFrame([*rows, ("far", "q", -5000.0), ("far", "q", 5000.0)], "x string, other string, y double").repartition(4)
+    rows += [("far", "q", -5000.0), ("far", "q", 5000.0)]
+    got = {r.column: r.mi for r in mutual_information_nearest(df, ["x", "other"], "y", 3, chunk, ends).collect()}
+    for i, c in enumerate(("x", "other")):
+        assert got[c] == pytest.approx(brute([(r[i], r[2]) for r in rows], 3), abs=1e-9)
+    assert got["x"] > 0.1
+
+
+def test_few_rows_are_asked_again(spark, monkeypatch):
+    asked = []
+
+    def carry(df, *args):
+        asked.append(df.count())
+        return chunk_carry(df, *args)
+
+    monkeypatch.setattr(neighbours, "chunk_carry", carry)
+    df = spark.range(20_000).select((F.col("id") % 4).alias("x"), F.pmod(F.col("id") * 7919, F.lit(20_011)).cast("double").alias("y"))
+    assert mutual_information_nearest(df, ["x"], "y", 3, 4_000).count() == 1
+    assert 0 < asked[0] < 1_000
