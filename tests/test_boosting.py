@@ -157,3 +157,18 @@ def test_rows_are_passed_in_blocks_to_a_task_a_core(spark):
     cores = spark.sparkContext.defaultParallelism
     assert boosting.shared_out(found, 600).rdd.getNumPartitions() == min(cores, 40)
     assert boosting.shared_out(found, 60 * boosting.SHARE).rdd.getNumPartitions() == 40
+
+
+def test_siblings_and_features_are_added_alike(spark, data, monkeypatch):
+    """Sums of a smaller sibling and its parent, of all nodes by feature, and in a tree of tasks make the same model."""
+    x, y = data
+    fit = lambda: Boosted(Settings(rounds=3, depth=4, bins=256), 2).fit(frame(spark, x, y)).raw(x)
+    asked, sums = [], boosting.sums
+    monkeypatch.setattr(boosting, "sums", lambda *a: asked.append(len(a[3])) or sums(*a))
+    plain = fit()
+    assert max(asked) <= 4  # of eight nodes of a level the smaller halves
+    monkeypatch.setattr(boosting, "LEAST", 1)
+    monkeypatch.setattr(boosting, "COLLECTED", 0)
+    assert (fit() == plain).all()
+    monkeypatch.setattr(boosting, "AT_ONCE", 0)
+    assert (fit() == plain).all()
