@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from foldwise.operators import evaluate
 from foldwise.operators.registry import REGISTRY
+from foldwise.plans import models
 
 
 def prepared(spark, k=3):
@@ -46,3 +47,16 @@ def test_tasks_are_bounded_whatever_the_shuffle_partitions(spark, monkeypatch):
         assert prepared(spark).frame.rdd.getNumPartitions() == 7
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", most)
+
+
+def test_leaderboards_fit_the_registry_defaults(spark, folder, monkeypatch):
+    """Neither rounds, trees nor iterations are cut."""
+    asked = {}
+
+    def board(p, names, params=None, parallelism=1, budget=None):
+        asked[tuple(names)] = params
+        return spark.createDataFrame([("ridge", 0, "accuracy", 1.0, None)], evaluate.BOARD_SCHEMA)
+
+    monkeypatch.setattr(evaluate, "leaderboard", board)
+    assert models.baseline_leaderboard(spark, folder).count() == 1
+    assert [len(names) for names in asked] == [5] and not any(asked.values())
