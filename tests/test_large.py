@@ -58,5 +58,5 @@ def test_leaderboards_fit_the_registry_defaults(spark, folder, monkeypatch):
         return spark.createDataFrame([("ridge", 0, "accuracy", 1.0, None)], evaluate.BOARD_SCHEMA)
 
     monkeypatch.setattr(evaluate, "leaderboard", board)
-    assert models.baseline_leaderboard(spark, folder).count() == 1
-    assert [len(names) for names in asked] == [5] and not any(asked.values())
+    assert models.baseline_leaderboard(spark, folder).count() == models.further_models(spark, folder).count() == 1
+    assert [len(names) for names in asked] == [5, 7] and not any(asked.values())
